@@ -31,11 +31,12 @@ def blanks(width: int) -> str:
     return f"repeat(' ', {width})" if width > 8 else literal(" " * width)
 
 
-def holds(tests: tuple[Test, ...]) -> str:
-    """All tests hold; no test at all is always true."""
+def holds(tests: tuple[Test, ...], at: dict[tuple[int, int], str] | None = None) -> str:
+    """All tests hold; no test at all is always true. ``at`` names parts that are already cut."""
     def one(t: Test) -> str:
         text = blanks(len(t.text)) if not t.text.strip() else literal(t.text)
-        return f"{cut(t.start, t.end)} {'=' if t.equal else '<>'} {text}"
+        part = (at or {}).get((t.start, t.end)) or cut(t.start, t.end)
+        return f"{part} {'=' if t.equal else '<>'} {text}"
     return " AND ".join(one(t) for t in tests) or "true"
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE, by_case, name
+from ..functions.text import LINE, by_case, cut, name
 from ..layouts.codes import LOOKUPS
 from ..layouts.model import Feed
-from ..operators.classify import NO_TYPE, WRONG_LENGTH, type_name, type_number
+from ..operators.classify import (NO_TYPE, WRONG_LENGTH, discriminators, type_name,
+                                  type_number)
 from ..operators.lookups import attach_lookup, checked_lookup, lookup_key
 from ..operators.render import rendered
 from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, failures, field_rules, length_rule,
@@ -21,7 +22,8 @@ RESULT = ("_ROW_TYPE", "_ROW_STATUS", "_ROW_EXCEPTIONS", "_ROW_DATA")
 
 def classified(lines: DataFrame, feed: Feed) -> DataFrame:
     """Add the number of the record type."""
-    return lines.withColumn("_TYPE_NO", F.expr(type_number(feed)))
+    parts = {column: F.expr(cut(*at)) for at, column in discriminators(feed).items()}
+    return lines.withColumns(parts).withColumn("_TYPE_NO", F.expr(type_number(feed))).drop(*parts)
 
 
 def with_lookups(df: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
