@@ -56,8 +56,10 @@ def transform(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None
     failed = by_case("_TYPE_NO", [(n, failures(r)) for n, r in rules.items() if r], NO_EXCEPTIONS)
     data = by_case("_TYPE_NO", [(i, rendered(t)) for i, t in enumerate(feed.types)], LINE)
 
+    # A generated column is not replaced by its expression when a filter on it is pushed down:
+    # routing by status does not evaluate the rules a second time.
     checked = with_lookups(classified(lines, feed), feed, lookups) \
-        .withColumn("_ROW_STATUS", F.expr(status))
+        .withColumn("_ROW_STATUS", F.expr(f"explode(array({status}))"))
     return checked.selectExpr(
         *_carried(lines),
         f"{type_name('_TYPE_NO', feed)} AS _ROW_TYPE",
