@@ -32,13 +32,13 @@ def sized_name(path: Column, size: Column) -> Column:
 
 def destination_name(path: Column, stamp: Column, mode: Column) -> Column:
     """``<stem>_<stamp>`` with the extension dropped, kept, or replaced (``force:.ext``)."""
-    stamped = F.concat(stem(path), F.lit("_"), stamp)
-    chosen = F.lower(F.trim(F.coalesce(mode, F.lit("drop"))))
-    forced = F.trim(F.regexp_extract(chosen, r"^force:(.*)$", 1))
-    dot = F.when((forced != "") & ~F.startswith(forced, F.lit(".")), F.lit(".")).otherwise(F.lit(""))
-    return (F.when(chosen == "keep", F.concat(stamped, extension(path)))
-            .when(F.startswith(chosen, F.lit("force:")), F.concat(stamped, dot, forced))
-            .otherwise(stamped))
+    chosen = F.lower(F.trim(mode))
+    forced = F.regexp_replace(chosen, r"^force:\s*\.?(.*)$", ".$1")
+    return F.concat(
+        stem(path), F.lit("_"), stamp,
+        F.when(chosen == "keep", extension(path))
+        .when(F.startswith(chosen, F.lit("force:")) & (forced != "."), forced)
+        .otherwise(F.lit("")))
 
 
 def offset_minutes(offset: Column) -> Column:

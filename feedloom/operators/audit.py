@@ -5,8 +5,6 @@ Everything is derived from one small tally, so the data is read once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +14,6 @@ from ..sources.tables import FILE_METADATA, local_table
 from .rules import ACCEPTED
 
 FILE = "<file>"
-VALUE_COLUMNS = ("_REPORT_SECTION", "_REPORT_LEVEL", "_ROW_TYPE", "_REPORT_LINE_LABEL",
-                 "_REPORT_RESULT_VALUE")
-VALUE_SCHEMA = ("_REPORT_SECTION STRING, _REPORT_LEVEL STRING, _ROW_TYPE STRING, "
-                "_REPORT_LINE_LABEL STRING, _REPORT_RESULT_VALUE BIGINT")
 WEIGHTED = ("ROWS_OUT", "FIELDS_IN", "FIELDS_OUT", "TRANSFORMS")
 
 
@@ -57,6 +51,18 @@ def total(counts: DataFrame) -> DataFrame:
     return counts.agg(F.sum("count").alias("count"))
 
 
+def routed_counts(rows: DataFrame) -> DataFrame:
+    """Rows in, out and rejected, per type and for the file: one conditional aggregation."""
+    ok = F.col("_ROW_STATUS") == ACCEPTED
+    per_type = rows.groupBy("_ROW_TYPE").agg(F.count(F.lit(1)).alias("ROWS_IN"),
+                                             F.count_if(ok).alias("ROWS_OUT"),
+                                             F.count_if(~ok).alias("ROWS_REJECTED"))
+    return (per_type.unpivot("_ROW_TYPE", ["ROWS_IN", "ROWS_OUT", "ROWS_REJECTED"], "section", "count")
+            .where(F.col("count") > 0)
+            .select("section", F.explode(F.array("_ROW_TYPE", F.lit(FILE))).alias("_ROW_TYPE"), "count")
+            .groupBy("section", "_ROW_TYPE").agg(F.sum("count").alias("count")))
+
+
 def with_file_metadata(counts: DataFrame, metadata: DataFrame) -> DataFrame:
     """Counts of the types named in the metadata."""
     return counts.join(F.broadcast(metadata), F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "inner")
@@ -86,41 +92,48 @@ def _values(df: DataFrame, section, level: str, row_type, value) -> DataFrame:
 
 def audit_values(counted: DataFrame, metadata: DataFrame, categories: DataFrame,
                  complete: bool = False) -> DataFrame:
-    """All result values of the audit from the tally.
+    """All result values of the audit from the tally, which is read once.
 
-    ``complete`` adds the values the report template has lines for but no branch ever fills:
-    rows not transformed, rows not output, and rows in per type.
+    Every tally row is spread over the values it counts towards, and the values are summed up.
+    ``complete`` adds the values the report template has lines for but nothing ever fills: rows not
+    transformed, rows not output, and rows in per type.
     """
-    n, row_type, file = F.col("count"), F.col("_ROW_TYPE"), F.lit(FILE)
-    ok = F.col("_ROW_STATUS") == ACCEPTED
-    per_type = counted.groupBy("_ROW_TYPE").agg(
-        F.sum("_ROWS").alias("in"),
-        F.sum(F.when(ok, F.col("_ROWS"))).alias("out"),
-        F.sum(F.when(~ok, F.col("_ROWS"))).alias("rejected"))
-    whole = per_type.agg(F.coalesce(F.sum("in"), F.lit(0)).alias("ROWS_IN"),
-                         F.sum("out").alias("ROWS_OUT"),
-                         F.sum("rejected").alias("ROWS_REJECTED"),
-                         F.sum("out").alias("ROWS_TRANSFORMED"),
-                         *([F.coalesce(F.sum("rejected"), F.lit(0)).alias("ROWS_NOT_TRANSFORMED"),
-                            F.coalesce(F.sum("rejected"), F.lit(0)).alias("ROWS_NOT_OUT")]
-                           if complete else []))
-    by_file = whole.unpivot([], whole.columns, "section", "count")
-    out = per_type.where(F.col("out").isNotNull()).select("_ROW_TYPE", F.col("out").alias("count"))
-    named = with_file_metadata(out, metadata)
-    weighted = weighted_counts(out, metadata)
-    refused = per_type.where(F.col("rejected").isNotNull())
-    failures = counted.select("_ROW_TYPE", "_ROWS", F.explode_outer("_FAILURES").alias("_EXCEPTION_TYPE"))
-    by_category = category_counts(failures, categories, "_ROWS")
-    branches = [
-        _values(by_file, F.col("section"), "FILE", file, n),
-        _values(named, F.lit("ROWS_TRANSFORMED"), "ROW_TYPE", F.col("ROW_TYPE"), n),
-        _values(weighted, F.col("_REPORT_SECTION"), "ROW_TYPE", row_type, F.col("_REPORT_RESULT_VALUE")),
-        _values(refused, F.lit("ROWS_REJECTED"), "ROW_TYPE", row_type, F.col("rejected")),
-        _values(by_category, F.col("EXCEPTION_CATEGORY"), "ROW_TYPE", row_type, n),
-    ]
+    def value(section: str, level: str, n: str = "_ROWS") -> str:
+        row_type = f"'{FILE}'" if level == "FILE" else "_ROW_TYPE"
+        return (f"named_struct('section', '{section}', 'level', '{level}', 'row_type', {row_type}, "
+                f"'exception', cast(null AS string), 'n', {n})")
+
+    kept = [value("ROWS_OUT", "FILE"), value("ROWS_TRANSFORMED", "FILE")]
+    named = [value("ROWS_TRANSFORMED", "ROW_TYPE"), value("ROWS_OUT", "ROW_TYPE")] + [
+        value(m, "ROW_TYPE", f"_ROWS * {m}") for m in WEIGHTED[1:]]
+    refused = [value("ROWS_REJECTED", "FILE"), value("ROWS_REJECTED", "ROW_TYPE")]
+    every = [value("ROWS_IN", "FILE")]
     if complete:
-        branches.append(_values(per_type, F.lit("ROWS_IN"), "ROW_TYPE", row_type, F.col("in")))
-    return reduce(DataFrame.unionByName, branches)
+        refused += [value("ROWS_NOT_TRANSFORMED", "FILE"), value("ROWS_NOT_OUT", "FILE")]
+        every += [value("ROWS_IN", "ROW_TYPE")]
+    failed = ("transform(_FAILURES, x -> named_struct('section', cast(null AS string), 'level', 'ROW_TYPE', "
+              "'row_type', _ROW_TYPE, 'exception', x, 'n', _ROWS))")
+    spread = (f"inline(CASE WHEN _ROW_STATUS <> {ACCEPTED} THEN concat(array({', '.join(every + refused)}), {failed})"
+              f" WHEN ROW_TYPE IS NULL THEN array({', '.join(every + kept)})"
+              f" ELSE array({', '.join(every + kept + named)}) END)")
+
+    weights = metadata.select("ROW_TYPE", *WEIGHTED[1:])
+    category = F.coalesce("section", "EXCEPTION_CATEGORY")
+    # a file without any row still reports its totals
+    totals = [("ROWS_IN", 0), ("ROWS_OUT", None), ("ROWS_REJECTED", None), ("ROWS_TRANSFORMED", None)]
+    none = local_table(counted.sparkSession, [(s, "FILE", FILE, n) for s, n in totals],
+                       "_REPORT_SECTION STRING, _REPORT_LEVEL STRING, _ROW_TYPE STRING, n BIGINT")
+    return (counted.join(F.broadcast(weights), F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "left")
+            .selectExpr(spread)
+            .join(F.broadcast(categories), F.col("exception") == F.col("EXCEPTION_TYPE"), "left")
+            .where(category.isNotNull())
+            .select(category.alias("_REPORT_SECTION"), F.col("level").alias("_REPORT_LEVEL"),
+                    F.col("row_type").alias("_ROW_TYPE"), "n")
+            .unionByName(none)
+            .groupBy("_REPORT_SECTION", "_REPORT_LEVEL", "_ROW_TYPE")
+            .agg(F.sum("n").alias("_REPORT_RESULT_VALUE"))
+            .select("_REPORT_SECTION", "_REPORT_LEVEL", "_ROW_TYPE",
+                    F.lit(None).cast("string").alias("_REPORT_LINE_LABEL"), "_REPORT_RESULT_VALUE"))
 
 
 def report_lines(template: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -321,10 +321,13 @@ def all_oracles() -> dict[str, str]:
         "audit_counts": ledger("lineitem") + (
             ", c AS (SELECT row_type, status = 0 AS ok, count(*) AS n FROM st GROUP BY 1, 2)"
             " SELECT 'ROWS_IN' AS section, '<file>' AS row_type, CAST(sum(n) AS BIGINT) AS n FROM c"
+            " UNION ALL SELECT 'ROWS_IN', row_type, CAST(sum(n) AS BIGINT) FROM c GROUP BY row_type"
             " UNION ALL SELECT 'ROWS_OUT', row_type, n FROM c WHERE ok"
             " UNION ALL SELECT 'ROWS_OUT', '<file>', CAST(sum(n) AS BIGINT) FROM c WHERE ok"
             " UNION ALL SELECT 'ROWS_REJECTED', row_type, n FROM c WHERE NOT ok"
             " UNION ALL SELECT 'ROWS_REJECTED', '<file>', CAST(sum(n) AS BIGINT) FROM c WHERE NOT ok"),
+        "audit_totals": ("SELECT 'counted' AS how, count(*) AS n FROM orders"
+                         " UNION ALL SELECT 'summed', count(*) FROM orders"),
         "audit_weighted_unpivot": ledger("lineitem") + (
             "SELECT row_type, w.section, CAST(count(*) * w.x AS BIGINT) AS n FROM st"
             f" CROSS JOIN ({weights}) w(section, x) WHERE status = 0 GROUP BY row_type, w.section, w.x"),

@@ -262,17 +262,16 @@ def _inputs(spark):
 
 
 def audit_counts(spark, sf_dir):
-    rows = ledger_rows(spark, sf_dir, "lineitem")
-    out, bad = audit.type_counts(accepted(rows)), audit.type_counts(rejected(rows))
-    def label(df, section, by_type=True):
-        return df.select(F.lit(section).alias("section"),
-                         (F.col("_ROW_TYPE") if by_type else F.lit("<file>")).alias("row_type"),
-                         F.col("count").alias("n"))
-    return (label(audit.row_count(rows), "ROWS_IN", False)
-            .unionByName(label(audit.with_file_metadata(out, _metadata(spark)), "ROWS_OUT"))
-            .unionByName(label(audit.total(out), "ROWS_OUT", False))
-            .unionByName(label(bad, "ROWS_REJECTED"))
-            .unionByName(label(audit.total(bad), "ROWS_REJECTED", False)))
+    return audit.routed_counts(ledger_rows(spark, sf_dir, "lineitem")).select(
+        "section", F.col("_ROW_TYPE").alias("row_type"), F.col("count").alias("n"))
+
+
+def audit_totals(spark, sf_dir):
+    """Rows in, counted directly and as the sum of the counts per type."""
+    rows = ledger_rows(spark, sf_dir, "orders")
+    return audit.row_count(rows).select(F.lit("counted").alias("how"), F.col("count").alias("n")) \
+        .unionByName(audit.total(audit.type_counts(rows)).select(
+            F.lit("summed").alias("how"), F.col("count").alias("n")))
 
 
 def audit_weighted_unpivot(spark, sf_dir):
@@ -370,7 +369,7 @@ SINGLE = (fw_extract, fw_typed_structs, fw_length_reject, fw_classify, fw_xref_j
           fw_status_last_wins, fw_route_accepted, fw_route_rejected, fw_render_pipe, fw_exceptions,
           fw_failure_text, fw_split_failure_text, fw_roundtrip_sorted, fw_source_order, sink_rejected,
           sink_exceptions, sink_diagnostic, sink_quarantine, sink_job, source_table_lines,
-          audit_counts, audit_weighted_unpivot, audit_exception_categories, audit_values,
+          audit_counts, audit_totals, audit_weighted_unpivot, audit_exception_categories, audit_values,
           audit_report_long, audit_report_tabular, position_balance_audit, type_split_trim,
           type_split_cells, file_manifest, destination_names)
 

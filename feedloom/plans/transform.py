@@ -10,7 +10,7 @@ from ..layouts.codes import LOOKUPS
 from ..layouts.model import Feed
 from ..operators.classify import (NO_TYPE, WRONG_LENGTH, discriminators, type_name,
                                   type_number)
-from ..operators.lookups import attach_lookup, checked_lookup, lookup_key
+from ..operators.lookups import attach_lookup, lookup_key
 from ..operators.render import rendered
 from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, failures, field_rules, length_rule,
                                row_status, structure_rule)
@@ -27,12 +27,15 @@ def classified(lines: DataFrame, feed: Feed) -> DataFrame:
 
 
 def with_lookups(df: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Join every lookup the feed uses; tables not given are the default ones."""
+    """Join every lookup the feed uses; tables not given are the default ones.
+
+    Given tables have unique keys and are joined as they come: ``checked_lookup`` marks a small one
+    for broadcast, any other is left to the optimizer. The default tables have ten rows at most.
+    """
     lookups = lookups or {}
     for table in feed.lookups():
-        if table in lookups:
-            values, _ = checked_lookup(lookups[table])
-        else:
+        values = lookups.get(table)
+        if values is None:
             values = F.broadcast(constant_lookup(df.sparkSession, LOOKUPS[table]))
         df = attach_lookup(df, lookup_key(feed, "_TYPE_NO", table), values, table)
     return df
@@ -46,8 +49,8 @@ def transform(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None
     """One row per line: type, status, failures, and the output text.
 
     ``_ROW_DATA`` is the delimited record of an accepted line and the untouched line of a rejected
-    one. No shuffle and no Python worker: the rows stay in the order of ``lines``, next to all its
-    columns but ``value``.
+    one. No Python worker, and no shuffle as long as the lookups are small: the rows stay in the
+    order of ``lines``, next to all its columns but ``value``.
     """
     rules = {WRONG_LENGTH: [length_rule()],
              NO_TYPE: field_rules(feed, feed.common) + [structure_rule(feed)]}
