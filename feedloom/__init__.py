@@ -2,6 +2,7 @@
 
 from .layouts import FEEDS
 from .plans.job import Inputs, run_feed
-from .plans.transform import extract, transform, typed
+from .plans.transform import extract, transform, typed, verdicts
 
-__all__ = ["FEEDS", "Inputs", "extract", "run_feed", "transform", "typed"]
+__all__ = ["FEEDS", "Inputs", "extract", "run_feed", "transform", "typed",
+           "verdicts"]

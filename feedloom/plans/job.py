@@ -17,7 +17,7 @@ from ..session import tune
 from ..sinks import writers
 from ..sources import tables
 from ..sources.lines import read_lines, readable, unreadable
-from .transform import transform
+from .transform import transform, verdicts
 
 FILE_TYPES = {"position_balance": reports.POSITION_BALANCE_TYPES,
               "memo_position": reports.MEMO_POSITION_TYPES}
@@ -65,8 +65,10 @@ def run_feed(spark: SparkSession, feed: Feed | str, source: str | DataFrame, out
              skip_empty: bool = False, diagnostic: bool = False, complete: bool = False) -> None:
     """Write ``target``, ``rejected``, ``exceptions``, ``audit`` and ``audit_tab`` below ``out``.
 
-    The lines are read and checked once: the result is kept, spilling to disk, until all outputs
-    are written; a lost part of it is recomputed from its own part of the source.
+    The source is read twice. The target is written straight from the scan, so its text is never
+    stored in between. Everything else comes from the verdicts, a few bytes per accepted line plus
+    the rejected lines, which are kept (spilling to disk) until the run is over; a lost part is
+    recomputed from its own part of the source.
     """
     tune(spark)
     feed = FEEDS[feed] if isinstance(feed, str) else feed
@@ -76,27 +78,30 @@ def run_feed(spark: SparkSession, feed: Feed | str, source: str | DataFrame, out
                               else feed.name)
 
     checks = {name: checked_lookup(df) for name, df in inputs.lookups.items()}
+    lookups = {name: df for name, (df, _) in checks.items()}
     in_order = all(small for _, small in checks.values())      # else the join shuffles the rows
     order = None if in_order else ("_ROW_ID",)
-    rows = transform(readable(lines), feed, {name: df for name, (df, _) in checks.items()}) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, bad = accepted(rows), rejected(rows)
 
-        def put(df, write, folder, **options):
-            if skip_empty:
-                writers.write_if_any(df, write, f"{out}/{folder}", mode=mode, **options)
-            else:
-                write(df, f"{out}/{folder}", mode=mode, **options)
+    def put(df, write, folder, **options):
+        if skip_empty:
+            writers.write_if_any(df, write, f"{out}/{folder}", mode=mode, **options)
+        else:
+            write(df, f"{out}/{folder}", mode=mode, **options)
+
+    good = accepted(transform(readable(lines), feed, lookups))
+    put(good, writers.write_target, "target", order=order)
+    if diagnostic:
+        writers.write_diagnostic(good, f"{out}/target_with_row_id")
 
-        put(good, writers.write_target, "target", order=order)
+    rows = verdicts(readable(lines), feed, lookups).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bad = rejected(rows)
         put(bad, writers.write_rejected, "rejected")
         put(exception_rows(bad), writers.write_exceptions, "exceptions", order=order)
-        if diagnostic:
-            writers.write_diagnostic(good, f"{out}/target_with_row_id")
-        filled = audit_report(rows, inputs, file_name, complete)
+        filled = audit_report(rows, inputs, file_name, complete).persist()
         writers.write_report(audit.long_report(filled), f"{out}/audit", mode)
         writers.write_report(audit.tabular_report(filled), f"{out}/audit_tab", mode)
+        filled.unpersist()
     finally:
         rows.unpersist()
     if not isinstance(source, str):      # a text file has no null line, a table may have

@@ -256,7 +256,8 @@ def all_oracles() -> dict[str, str]:
     balance = FEEDS["position_balance"]
     fields = {f.name: _field(f, balance.type(header)) for f in balance.type(header).fields}
     header_no = [t.name for t in balance.types].index(header)
-    nations = case("c_acct", {"1234567890"[n % 11]: f"N{n}" for n in range(10)})
+    nations = ("(SELECT arg_max('N' || CAST(n_nationkey AS VARCHAR), n_nationkey) FROM nation"
+               " WHERE substr('1234567890X', CAST(n_nationkey % 11 + 1 AS INT), 1) = c_acct)")
     out = {
         "fw_extract": ledger("customer") + (
             "SELECT k AS _ROW_ID, '068' AS client, c_key AS key, c_nation AS nation,"

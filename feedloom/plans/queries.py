@@ -122,7 +122,7 @@ def fw_table_lookup(spark, sf_dir):
     writers.write_pipe_csv(nation.select(
         F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("_Key_AccType"),
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("_Value_AccType"))
-        .where("n_nationkey < 10"), folder, "overwrite")
+        .orderBy(F.regexp_extract("_Value_AccType", "[0-9]+", 0).cast("int")), folder, "overwrite")
     lookup, _ = checked_lookup(tables.read_lookup(spark, folder))
     rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup})
     return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")

@@ -12,7 +12,7 @@ from ..operators.classify import (NO_TYPE, WRONG_LENGTH, discriminators, type_na
                                   type_number)
 from ..operators.lookups import attach_lookup, lookup_key
 from ..operators.render import rendered
-from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, failures, field_rules, length_rule,
+from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, Rule, failures, field_rules, length_rule,
                                row_status, structure_rule)
 from ..operators.translate import field_value
 from ..sources.tables import constant_lookup
@@ -45,6 +45,32 @@ def _carried(lines: DataFrame) -> list[str]:
     return [name(c) for c in lines.columns if c != LINE]
 
 
+def _rules(feed: Feed) -> dict[int, list[Rule]]:
+    """Rules per type number, in the order they are tested."""
+    rules = {WRONG_LENGTH: [length_rule()],
+             NO_TYPE: field_rules(feed, feed.common) + [structure_rule(feed)]}
+    rules |= {i: field_rules(feed, t.fields) for i, t in enumerate(feed.types)}
+    return {number: group for number, group in rules.items() if group}
+
+
+def checked(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Lines with their type number, lookup values and status.
+
+    A generated column is not replaced by its expression when a filter on it is pushed down:
+    routing by status does not evaluate the rules a second time.
+    """
+    status = by_case("_TYPE_NO", [(n, row_status(r)) for n, r in _rules(feed).items()], str(ACCEPTED))
+    return with_lookups(classified(lines, feed), feed, lookups) \
+        .withColumn("_ROW_STATUS", F.expr(f"explode(array({status}))"))
+
+
+def _verdict(feed: Feed) -> list[str]:
+    failed = by_case("_TYPE_NO", [(n, failures(r)) for n, r in _rules(feed).items()], NO_EXCEPTIONS)
+    return [f"{type_name('_TYPE_NO', feed)} AS _ROW_TYPE",
+            "_ROW_STATUS",
+            f"CASE WHEN _ROW_STATUS = {ACCEPTED} THEN {NO_EXCEPTIONS} ELSE {failed} END AS _ROW_EXCEPTIONS"]
+
+
 def transform(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per line: type, status, failures, and the output text.
 
@@ -52,25 +78,19 @@ def transform(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None
     one. No Python worker, and no shuffle as long as the lookups are small: the rows stay in the
     order of ``lines``, next to all its columns but ``value``.
     """
-    rules = {WRONG_LENGTH: [length_rule()],
-             NO_TYPE: field_rules(feed, feed.common) + [structure_rule(feed)]}
-    rules |= {i: field_rules(feed, t.fields) for i, t in enumerate(feed.types)}
-    status = by_case("_TYPE_NO", [(n, row_status(r)) for n, r in rules.items() if r], str(ACCEPTED))
-    failed = by_case("_TYPE_NO", [(n, failures(r)) for n, r in rules.items() if r], NO_EXCEPTIONS)
     data = by_case("_TYPE_NO", [(i, rendered(t)) for i, t in enumerate(feed.types)], LINE)
-
-    # A generated column is not replaced by its expression when a filter on it is pushed down:
-    # routing by status does not evaluate the rules a second time.
-    checked = with_lookups(classified(lines, feed), feed, lookups) \
-        .withColumn("_ROW_STATUS", F.expr(f"explode(array({status}))"))
-    return checked.selectExpr(
-        *_carried(lines),
-        f"{type_name('_TYPE_NO', feed)} AS _ROW_TYPE",
-        "_ROW_STATUS",
-        f"CASE WHEN _ROW_STATUS = {ACCEPTED} THEN {NO_EXCEPTIONS} ELSE {failed} END AS _ROW_EXCEPTIONS",
+    return checked(lines, feed, lookups).selectExpr(
+        *_carried(lines), *_verdict(feed),
         f"CASE WHEN _ROW_STATUS = {ACCEPTED} THEN {data} ELSE {LINE} END AS _ROW_DATA")
 
 
+def verdicts(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The same without the output text of accepted lines: small enough to be kept for a whole run."""
+    return checked(lines, feed, lookups).selectExpr(
+        *_carried(lines), *_verdict(feed),
+        f"CASE WHEN _ROW_STATUS <> {ACCEPTED} THEN {LINE} END AS _ROW_DATA")
+
+
 def extract(lines: DataFrame, feed: Feed, record_type: str,
             lookups: dict[str, DataFrame] | None = None) -> DataFrame:
     """The lines of one record type with every field as a column, translated but not checked.
