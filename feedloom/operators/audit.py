@@ -1,6 +1,7 @@
 """Reconciliation: counts of a run, joined to metadata, as a long and a tabular report.
 
-Everything is derived from one small tally, so the data is read once.
+Everything is derived from one small tally, so the data is read once. Metadata tables are joined
+without a hint: Spark broadcasts them by their size.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def routed_counts(rows: DataFrame) -> DataFrame:
 
 def with_file_metadata(counts: DataFrame, metadata: DataFrame) -> DataFrame:
     """Counts of the types named in the metadata."""
-    return counts.join(F.broadcast(metadata), F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "inner")
+    return counts.join(metadata, F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "inner")
 
 
 def weighted_counts(counts: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def weighted_counts(counts: DataFrame, metadata: DataFrame) -> DataFrame:
 def category_counts(exceptions: DataFrame, categories: DataFrame, weight: str | None = None) -> DataFrame:
     """Exceptions per row type and category; types without a category are left out."""
     counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (exceptions.join(F.broadcast(categories),
+    return (exceptions.join(categories,
                             F.col("_EXCEPTION_TYPE") == F.col("EXCEPTION_TYPE"), "inner")
             .groupBy("_ROW_TYPE", "EXCEPTION_CATEGORY").agg(counted.alias("count")))
 
@@ -123,9 +124,9 @@ def audit_values(counted: DataFrame, metadata: DataFrame, categories: DataFrame,
     totals = [("ROWS_IN", 0), ("ROWS_OUT", None), ("ROWS_REJECTED", None), ("ROWS_TRANSFORMED", None)]
     none = local_table(counted.sparkSession, [(s, "FILE", FILE, n) for s, n in totals],
                        "_REPORT_SECTION STRING, _REPORT_LEVEL STRING, _ROW_TYPE STRING, n BIGINT")
-    return (counted.join(F.broadcast(weights), F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "left")
+    return (counted.join(weights, F.col("_ROW_TYPE") == F.col("ROW_TYPE"), "left")
             .selectExpr(spread)
-            .join(F.broadcast(categories), F.col("exception") == F.col("EXCEPTION_TYPE"), "left")
+            .join(categories, F.col("exception") == F.col("EXCEPTION_TYPE"), "left")
             .where(category.isNotNull())
             .select(category.alias("_REPORT_SECTION"), F.col("level").alias("_REPORT_LEVEL"),
                     F.col("row_type").alias("_ROW_TYPE"), "n")

@@ -92,11 +92,9 @@ def fw_classify(spark, sf_dir):
 # --- translations --------------------------------------------------------------------------
 
 def fw_xref_join(spark, sf_dir):
-    lines = ledger_lines(spark, sf_dir)
-    parts = [extract(lines, LEDGER, t.name).select(
-        "_ROW_ID", F.lit(t.name).alias("row_type"), F.col("ACCOUNT TYPE").alias("account_type"))
-        for t in LEDGER.types]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = typed(ledger_lines(spark, sf_dir), LEDGER).where("_ROW_TYPE <> '<Unrecognized>'")
+    return rows.select("_ROW_ID", F.col("_ROW_TYPE").alias("row_type"), F.coalesce(
+        *(F.col(t.name)["ACCOUNT TYPE"] for t in LEDGER.types)).alias("account_type"))
 
 
 def fw_xref_exchange_class(spark, sf_dir):
@@ -107,11 +105,9 @@ def fw_xref_exchange_class(spark, sf_dir):
 
 
 def fw_code_map(spark, sf_dir):
-    lines = order_code_lines(spark, sf_dir)
-    fields = extract(lines, ORDER_CODES, "ORDER").select(
-        "_ROW_ID", F.col("STATUS").alias("status"), F.col("ACTION").alias("action"),
+    return extract(order_code_lines(spark, sf_dir), ORDER_CODES, "ORDER", with_status=True).select(
+        "_ROW_ID", "_ROW_STATUS", F.col("STATUS").alias("status"), F.col("ACTION").alias("action"),
         F.col("SPIN").alias("spin"), F.col("SWITCH").alias("switch"))
-    return fields.join(transform(lines, ORDER_CODES).select("_ROW_ID", "_ROW_STATUS"), "_ROW_ID")
 
 
 def fw_table_lookup(spark, sf_dir):
@@ -122,7 +118,8 @@ def fw_table_lookup(spark, sf_dir):
     writers.write_pipe_csv(nation.select(
         F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("_Key_AccType"),
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("_Value_AccType"))
-        .orderBy(F.regexp_extract("_Value_AccType", "[0-9]+", 0).cast("int")), folder, "overwrite")
+        .orderBy(F.regexp_extract("_Value_AccType", "[0-9]+", 0).cast("int")).coalesce(1),
+        folder, "overwrite")
     lookup, _ = checked_lookup(tables.read_lookup(spark, folder))
     rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup})
     return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")

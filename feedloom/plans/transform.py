@@ -92,15 +92,20 @@ def verdicts(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None
 
 
 def extract(lines: DataFrame, feed: Feed, record_type: str,
-            lookups: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The lines of one record type with every field as a column, translated but not checked.
+            lookups: dict[str, DataFrame] | None = None, with_status: bool = False) -> DataFrame:
+    """The lines of one record type with every field as a column, translated.
 
     Only this type's columns are planned: the table of all fields of all types would be far too wide.
+    The rules are evaluated only ``with_status``.
     """
     t = feed.type(record_type)
-    wanted = classified(lines, feed).where(f"_TYPE_NO = {feed.types.index(t)}")
-    return with_lookups(wanted, feed, lookups).selectExpr(
-        *_carried(lines), *(f"{field_value(f, t)} AS {name(f.name)}" for f in t.fields))
+    wanted = f"_TYPE_NO = {feed.types.index(t)}"
+    if with_status:
+        rows = checked(lines, feed, lookups).where(wanted)
+    else:
+        rows = with_lookups(classified(lines, feed).where(wanted), feed, lookups)
+    return rows.selectExpr(*_carried(lines), *(["_ROW_STATUS"] if with_status else []),
+                           *(f"{field_value(f, t)} AS {name(f.name)}" for f in t.fields))
 
 
 def typed(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None,

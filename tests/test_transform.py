@@ -221,3 +221,35 @@ def test_attach_lookup_keeps_every_row(spark):
     rows = as_lines(spark, ["1", "x", "1"])
     out = attach_lookup(rows, "value", constant_lookup(spark, {"1": "one"}), "t")
     assert {(r._ROW_ID, r._LOOKUP_t) for r in out.collect()} == {(0, "one"), (1, None), (2, "one")}
+
+
+def test_lookup_from_the_catalog(spark):
+    from feedloom.sources.tables import read_table_lookup
+    spark.createDataFrame([("1", "one"), ("2", "two")], "code STRING, text STRING") \
+        .createOrReplaceTempView("feedloom_codes")
+    rows = transform(as_lines(spark, [put(60, p15="2", p16="1")]), LEDGER,
+                     {"account_type": read_table_lookup(spark, "feedloom_codes")})
+    assert answer(rows)[0][3].split("|")[3] == "two"
+
+
+def test_extract_with_status(spark):
+    feed = FEEDS["memo_position"]
+    lines = as_lines(spark, by_hand.fixture(feed))
+    status = {r._ROW_ID: r._ROW_STATUS for r in transform(lines, feed).collect()}
+    rows = extract(lines, feed, "Memo T record", with_status=True).collect()
+    assert rows and all(r._ROW_STATUS == status[r._ROW_ID] for r in rows)
+
+
+def test_a_hot_record_type_with_a_large_lookup(spark):
+    """Nine lines in ten have the same code; without a broadcast all of them are still there."""
+    lines = spark.range(20000).selectExpr(
+        "id AS _ROW_ID", "rpad(concat('068', lpad(id, 8, '0'), '001', if(id % 10 = 0, '2', '1'), '1'), 60, ' ') AS value")
+    values = constant_lookup(spark, {"1": "C", "2": "M"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = transform(lines, LEDGER, {"account_type": values})
+        assert "SortMergeJoin" in plan(rows) or "ShuffledHashJoin" in plan(rows)
+        counts = {r[0]: r[1] for r in rows.selectExpr("split(_ROW_DATA, '[|]')[3] AS t").groupBy("t").count().collect()}
+        assert counts == {"C": 18000, "M": 2000}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
