@@ -24,8 +24,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder all executors can reach; only a session without one (tests) gets a local one."""
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Without that setting a session whose executors run in the driver's own process (tests) gets a
+    local folder of its own; on a cluster it is an error, because each machine would write its own disk.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
