@@ -116,10 +116,12 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_column: str = "
     text = F.coalesce((normal or (lambda column: column))(F.col(text_column)), F.lit(""))
     keyed = docs.select(F.col(id_column), text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
 
-    known = stored_counts(spark, cache, version)
-    texts = keyed.select("digest", "text").join(known.select("digest"), "digest", "left_anti")
-    distinct = texts.mapInArrow(_once_per_task, "digest binary, text string").repartition("digest")
-    distinct.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens long") \
+    # Texts move once: the join with the cache keeps the partitioning by digest.
+    texts = keyed.select("digest", "text").mapInArrow(_once_per_task, "digest binary, text string") \
+        .repartition("digest")
+    known = stored_counts(spark, cache, version).select("digest").hint("shuffle_hash")
+    misses = texts.join(known, "digest", "left_anti").select("digest", "text")
+    misses.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens long") \
         .select("digest", F.lit(version).alias("version"), "n_tokens") \
         .write.mode("append").parquet(cache)
 
