@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.llm import bpe
 from feedloom.llm.common import table
 from feedloom.llm.token_counts import token_counts
+from feedloom.llm.wrappers import extract_text
 from feedloom.session import scratch_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -17,8 +20,21 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         scratch_folder(spark, "token-count-cache"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")) \
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)
+    coded = bpe.encode(docs, path, bpe.build_lexicon(docs, path))
+    return bpe.decode(coded, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts,)}
+    return {f.__name__: f for f in (op1_token_counts, op2_html_text, op4_bpe_codec)}
 
 
 def llm_oracles() -> dict[str, str]:
