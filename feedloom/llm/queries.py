@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import bpe
 from feedloom.llm.common import table
+from feedloom.llm.mixing import mix_plan
+from feedloom.llm.quality_rules import apply_rules
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.wrappers import extract_text
 from feedloom.session import scratch_folder
@@ -25,6 +27,12 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)
     coded = bpe.encode(docs, path, bpe.build_lexicon(docs, path))
@@ -33,8 +41,13 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"))
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_html_text, op4_bpe_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_html_text, op3_quality_rules, op4_bpe_codec, op7_source_mix)}
 
 
 def llm_oracles() -> dict[str, str]:
