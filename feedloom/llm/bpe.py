@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import small_batches
+from feedloom.llm.common import python_ready
 from feedloom.llm.pieces import PieceEncoder
 from feedloom.llm.transducer import compile_transducer, mapped
 
@@ -166,7 +166,7 @@ def build_lexicon(docs: DataFrame, vocabulary_path: str, most_words: int = 65_53
     Its size is bounded by the parameter, not by the corpus.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     vocab = vocabulary(vocabulary_path)
     pieces = docs.select(F.col(text_column).alias("text")).filter("text is not null") \
         .mapInArrow(_piece_counts, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")) \
@@ -187,7 +187,7 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon, id_column: str = "doc
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=[id_column, "n_tokens", "ids"])
 
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     rows = docs.select(id_column, text_column)
     kind = rows.schema[id_column].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids binary")
@@ -205,6 +205,6 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids", to
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, to])
 
-    small_batches(encoded.sparkSession)
+    python_ready(encoded.sparkSession)
     fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in encoded.schema)
     return encoded.mapInArrow(run, f"{fields}, `{to}` string")

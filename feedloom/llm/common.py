@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import scratch_folder
 
+_SHIPPED: set[str] = set()
+
 # White space and words of the contracts: every operator splits on the same six characters.
 SPACES = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -23,8 +29,18 @@ def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches small enough for whole, possibly very long texts."""
+def python_ready(spark: SparkSession, rows: int = 512) -> None:
+    """Before Python tasks: Arrow batches small enough for whole, possibly very long texts, and this
+    package on the workers, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="run-")) / "feedloom.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((root / "feedloom").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import bpe
 from feedloom.llm.common import table
 from feedloom.llm.fingerprints import fingerprints
+from feedloom.llm.jaccard import jaccard_groups
 from feedloom.llm.mixing import mix_plan
 from feedloom.llm.quality_rules import apply_rules
 from feedloom.llm.token_counts import token_counts
@@ -51,9 +52,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict:
     return {f.__name__: f for f in (op1_token_counts, op2_html_text, op3_quality_rules, op4_bpe_codec,
-                                    op7_source_mix, op9_fingerprints)}
+                                    op7_source_mix, op9_fingerprints, op10_ngram_jaccard)}
 
 
 def llm_oracles() -> dict[str, str]:

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import small_batches
+from feedloom.llm.common import python_ready, stored
 from feedloom.llm.pieces import PieceEncoder
 
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
@@ -111,7 +111,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_column: str = "
     reachable from every machine; misses are appended to it before the result is returned.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     version = tokenizer_version(tokenizer)
     text = F.coalesce((normal or (lambda column: column))(F.col(text_column)), F.lit(""))
     keyed = docs.select(F.col(id_column), text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
@@ -125,7 +125,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_column: str = "
         .select("digest", F.lit(version).alias("version"), "n_tokens") \
         .write.mode("append").parquet(cache)
 
+    # The counts are stored first, so that both sides of the join are plain exchanges and the rows of
+    # a digest that many documents share can be split.
+    counts = stored(spark, stored_counts(spark, cache, version), "counts")
     slim = keyed.select(id_column, F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-    return slim.join(stored_counts(spark, cache, version), "digest", "left").select(
+    return slim.join(counts, "digest", "left").select(
         id_column, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
         F.lower(F.hex("digest")).alias("content_sha256"))

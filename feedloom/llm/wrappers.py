@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import small_batches, stored
+from feedloom.llm.common import python_ready, stored
 
 MAX_DEPTH = 40
 # Roles of HTML elements and the usual class words of page furniture.
@@ -317,7 +317,7 @@ def host(url):
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """One row per host: pages, the wrapper's expression, and the paths of its article slots."""
-    small_batches(pages.sparkSession)
+    python_ready(pages.sparkSession)
     shape = "host string, wrapper string"
     return pages.select(host(F.col("url")).alias("host"), F.col("html")).filter("html is not null") \
         .mapInArrow(_partial, shape) \
