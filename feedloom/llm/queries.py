@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe
+from feedloom.llm import bpe, quality_model, toxicity
 from feedloom.llm.common import table
 from feedloom.llm.fingerprints import fingerprints
 from feedloom.llm.jaccard import jaccard_groups
+from feedloom.llm.license_scan import scan_licenses
 from feedloom.llm.mixing import mix_plan
 from feedloom.llm.quality_rules import apply_rules
 from feedloom.llm.token_counts import token_counts
@@ -56,9 +57,39 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~_held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.fit(docs)) \
+        .withColumn("kept", F.col("score") >= quality_model.CUTOFF)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan_licenses(table(spark, sf_dir, "documents"))
+    found = F.transform("matches", lambda m: m["label"])
+    return rows.select(
+        "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
+        F.array_join("phrase_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("phrase_labels", found)), ",").alias("labels"),
+        F.greatest(F.when(F.size("starts") > 0, 1.0).otherwise(0.0), F.coalesce(F.array_max(
+            F.transform("matches", lambda m: m["containment"])), F.lit(0.0))).alias("score"))
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_html_text, op3_quality_rules, op4_bpe_codec,
-                                    op7_source_mix, op9_fingerprints, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (
+        op1_token_counts, op2_html_text, op3_quality_rules, op4_bpe_codec, op5_toxicity, op6_quality_classifier,
+        op7_source_mix, op8_license_scan, op9_fingerprints, op10_ngram_jaccard)}
 
 
 def llm_oracles() -> dict[str, str]:
