@@ -19,19 +19,19 @@ import json
 from array import array
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import python_ready
-from feedloom.llm.pieces import PieceEncoder
+from feedloom.llm.pieces import PieceEncoder, Pieces
 from feedloom.llm.transducer import compile_transducer, mapped
 
 # Fixed value: the split pattern of this family of byte-level vocabularies.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SHORT = 48
+NEVER = 1 << 30
 
 
 def byte_characters() -> dict[str, int]:
@@ -58,11 +58,12 @@ class Vocabulary:
         self.byte_id = [0] * 256
         for char, byte in of_char.items():
             self.byte_id[byte] = model["vocab"][char]
-        self.merges = {}
+        self.rank_of, self.merged_id = {}, []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             ids = model["vocab"]
-            self.merges[ids[left], ids[right]] = rank, ids[left + right]
+            self.rank_of[ids[left], ids[right]] = rank
+            self.merged_id.append(ids[left + right])
         self.special_split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) \
             if self.special else None
 
@@ -72,35 +73,41 @@ class Vocabulary:
         return self._merged_short(ids) if len(ids) <= SHORT else self._merged_long(ids)
 
     def _merged_short(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            best = min((merges[pair] + (at,) for at, pair in enumerate(zip(ids, ids[1:])) if pair in merges),
-                       default=None)
-            if best is None:
+        rank_of, merged_id = self.rank_of.get, self.merged_id
+        ranks = [rank_of(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == NEVER:
                 break
-            ids[best[2]:best[2] + 2] = [best[1]]
+            at = ranks.index(rank)
+            ids[at] = merged_id[rank]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), NEVER)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for words of any length."""
-        merges, n = self.merges, len(ids)
+        rank_of, n = self.rank_of, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[pair], at, pair) for at, pair in enumerate(zip(ids, ids[1:])) if pair in merges]
+        heap = [(rank_of[pair], at, pair) for at, pair in enumerate(zip(ids, ids[1:])) if pair in rank_of]
         heapq.heapify(heap)
         while heap:
-            _, new, at, pair = heapq.heappop(heap)
+            rank, at, pair = heapq.heappop(heap)
             right = after[at]
             if right >= n or (ids[at], ids[right]) != pair:
                 continue
-            ids[at], ids[right] = new, -1
+            ids[at], ids[right] = self.merged_id[rank], -1
             after[at] = after[right]
             if after[at] < n:
                 before[after[at]] = at
             for left in (before[at], at):
                 if left >= 0 and after[left] < n:
                     near = ids[left], ids[after[left]]
-                    if near in merges:
-                        heapq.heappush(heap, (*merges[near], left, near))
+                    if near in rank_of:
+                        heapq.heappush(heap, (rank_of[near], left, near))
         return [i for i in ids if i >= 0]
 
 
@@ -112,20 +119,21 @@ def vocabulary(path: str) -> Vocabulary:
 def _piece_coder(path: str, block: bytes) -> PieceEncoder:
     vocab, lexicon = vocabulary(path), mapped(block)
 
+    def word_ids(word: str) -> bytes:
+        raw = word.encode()
+        return array("I", lexicon.get(raw) or vocab.merged(raw)).tobytes()
+
+    ids_of = Pieces(word_ids)
+
     def encode(piece: str) -> bytes:
-        ids: list[int] = []
-        at = 0
-        specials = vocab.special_split.finditer(piece) if vocab.special_split and "<" in piece else ()
-        for special in specials:
-            for word in WORD.findall(piece[at:special.start()]):
-                raw = word.encode()
-                ids += lexicon.get(raw) or vocab.merged(raw)
-            ids.append(vocab.special[special.group()])
+        if vocab.special_split is None or not vocab.special_split.search(piece):
+            return b"".join([ids_of[word] for word in WORD.findall(piece)])
+        out, at = [], 0
+        for special in vocab.special_split.finditer(piece):
+            out += [ids_of[word] for word in WORD.findall(piece[at:special.start()])]
+            out.append(array("I", [vocab.special[special.group()]]).tobytes())
             at = special.end()
-        for word in WORD.findall(piece[at:]):
-            raw = word.encode()
-            ids += lexicon.get(raw) or vocab.merged(raw)
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(out + [ids_of[word] for word in WORD.findall(piece[at:])])
 
     return PieceEncoder(encode)
 
