@@ -4,17 +4,18 @@ Overlapping heuristic labellers vote good, bad or abstain on every document. Vot
 pattern over the whole corpus (at most 3 to the number of labellers rows), and expectation-maximisation
 on these counts estimates the share of good documents and each labeller's accuracy on either class,
 without any true label. The posterior of a pattern is the soft label of its documents. A linear scorer
-over hashed word, shape and ending features is trained on a bounded sample of documents, chosen by a
+over hashed word, shape and ending features and the share of stuttered words is trained on a bounded sample of documents, chosen by a
 hash of the id with as many of each posterior class as there are, up to ``MOST_TRAINING`` each. The
 scorer reads whole texts of all documents; those below ``CUTOFF`` are rejected.
 
-Null and empty texts have no words, are voted bad by length, and score 0. Repeated rows score alike.
+Null and empty texts have no words, get bad votes throughout, and score 0. Repeated rows score alike.
 With no document, or none of a class, the pattern's posterior is the score. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,11 @@ from feedloom.llm.common import python_ready
 from feedloom.llm.pieces import Pieces
 
 DIMENSIONS = 1 << 16
+STUTTER = 0  # feature of repeated words; hashed features share the others
 MOST_TRAINING = 3_000
 CUTOFF = 0.5
 ABSTAIN, BAD, GOOD = 0, 1, 2
-_SYMBOL = re.compile(r"[#*$%&|<>{}\\^~=+_@]")
+_SYMBOL = re.compile(r"[#*$%&|<>{}\\^~]")
 _SHOUT = re.compile(r"[!?]{2}")
 _ODD, _UPPER, _LOUD, _STOP, _LOWER = 1, 2, 4, 8, 16
 
@@ -38,26 +40,36 @@ def _marks(word: str) -> int:
     """What the labellers look at in a word."""
     letters = [c for c in word if c.isalpha()]
     upper = sum(c.isupper() for c in letters)
-    return (_ODD * (not letters or bool(_SYMBOL.search(word)))
+    return (_ODD * (not any(map(str.isalnum, word)) or bool(_SYMBOL.search(word)))
             | _UPPER * (len(letters) > 1 and upper == len(letters)) | _LOUD * bool(_SHOUT.search(word))
-            | _STOP * (word[-1] in ".?!") | _LOWER * (bool(letters) and not upper))
+            | _STOP * (word[-1] in ".?!") | _LOWER * (len(letters) > upper and upper <= 1))
 
 
-# Labellers: from (n words, shares of the marks, mean word length, share of distinct words,
-# share of repeated lines) to a vote.
+def _prose(s: dict) -> bool:
+    return s["odd"] < 0.05 and s["upper"] < 0.1 and s["loud"] < 0.02 and s["lines"] < 0.1 and s["again"] < 0.05
+
+
+# Labellers: from the shares of the marks, n words, mean word length, share of distinct words and share
+# of repeated lines to a vote. Most know one kind of fault and abstain otherwise.
 LABELLERS = {
-    "symbols": lambda s: BAD if s["odd"] > 0.25 else GOOD if s["odd"] < 0.05 else ABSTAIN,
-    "capitals": lambda s: BAD if s["upper"] > 0.5 else GOOD if s["upper"] < 0.1 else ABSTAIN,
-    "loud": lambda s: BAD if s["loud"] > 0.3 else GOOD if s["loud"] < 0.02 else ABSTAIN,
-    "lower_case": lambda s: GOOD if s["lower"] > 0.7 else BAD if s["lower"] < 0.3 else ABSTAIN,
-    "sentences": lambda s: ABSTAIN if s["n"] < 30 else GOOD if 0.01 <= s["stop"] <= 0.3 else BAD if s["stop"] > 0.6 else ABSTAIN,
-    "word_length": lambda s: GOOD if 3 <= s["length"] <= 9 else BAD if s["length"] > 14 or s["length"] < 2 else ABSTAIN,
-    "distinct_words": lambda s: ABSTAIN if s["n"] < 30 else BAD if s["distinct"] < 0.12 and s["n"] < 2000 else GOOD,
-    "repeated_lines": lambda s: BAD if s["lines"] > 0.5 else GOOD if s["lines"] < 0.1 else ABSTAIN,
-    "length": lambda s: BAD if s["n"] < 2 else ABSTAIN,
+    "symbols": lambda s: BAD if s["odd"] > 0.25 else ABSTAIN,
+    "capitals": lambda s: BAD if s["upper"] > 0.5 else ABSTAIN,
+    "loud": lambda s: BAD if s["loud"] > 0.3 else ABSTAIN,
+    "few_lower_case": lambda s: BAD if s["lower"] < 0.3 else ABSTAIN,
+    "word_length": lambda s: BAD if s["length"] > 16 or s["length"] < 1.5 else ABSTAIN,
+    "repeats": lambda s: BAD if s["lines"] > 0.5 or (s["distinct"] < 0.2 and 30 <= s["n"] < 1000) else ABSTAIN,
+    "stutter": lambda s: BAD if s["again"] > 0.2 else ABSTAIN,
+    "sentences": lambda s: GOOD if 0.01 <= s["stop"] and (s["stop"] <= 0.5 or s["n"] < 10) and s["odd"] < 0.1 else BAD if s["odd"] > 0.4 else ABSTAIN,
+    "lower_case": lambda s: GOOD if s["lower"] > 0.7 and s["odd"] < 0.1 else ABSTAIN,
+    "prose": lambda s: GOOD if _prose(s) else ABSTAIN,
 }
 
 
+def repeats(words: list[str]) -> float:
+    """Share of words that repeat the one before."""
+    return sum(map(eq, words, words[1:])) / max(1, len(words))
+
+
 def vote_pattern(text: str | None, marks) -> int:
     """Votes of all labellers as one number in base 3."""
     text = text or ""
@@ -68,6 +80,7 @@ def vote_pattern(text: str | None, marks) -> int:
     share = lambda bit: float(np.count_nonzero(m & bit)) / max(1, n)
     s = {"n": n, "odd": share(_ODD), "upper": share(_UPPER), "loud": share(_LOUD), "stop": share(_STOP),
          "lower": share(_LOWER), "length": sum(map(len, words)) / max(1, n), "distinct": len(set(words)) / max(1, n),
+         "again": repeats(words),
          "lines": 1 - len(set(lines)) / len(lines) if lines else 0.0}
     pattern = 0
     for labeller in LABELLERS.values():
@@ -129,7 +142,7 @@ def _shape(word: str) -> str:
 
 def features(word: str) -> tuple[int, int, int]:
     """Hashed features of a word: itself, its shape, its ending."""
-    return tuple(xxhash.xxh3_64_intdigest(f.encode("utf-8", "surrogatepass")) % DIMENSIONS
+    return tuple(1 + xxhash.xxh3_64_intdigest(f.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1)
                  for f in ("w:" + word.lower(), "s:" + _shape(word), "e:" + word[-3:]))
 
 
@@ -169,9 +182,9 @@ def _vectors(batches):
     for batch in batches:
         indices, values = [], []
         for text in batch.column("text"):
-            found = [known[word] for word in (text.as_py() or "").split()]
-            index, count = np.unique(np.array(found, np.int64).reshape(-1), return_counts=True)
-            indices.append(index), values.append(count / max(1, len(found)))
+            words = (text.as_py() or "").split()
+            index, count = np.unique(np.array([known[word] for word in words], np.int64).reshape(-1), return_counts=True)
+            indices.append(np.r_[index, STUTTER]), values.append(np.r_[count / max(1, len(words)), repeats(words)])
         yield pa.RecordBatch.from_arrays([batch.column("pattern"), pa.array(indices, pa.list_(pa.int64())),
                                           pa.array(values, pa.list_(pa.float64()))], names=["pattern", "i", "v"])
 
@@ -218,7 +231,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 elif w is None:
                     scores.append(m["posterior"].get(vote_pattern(text.as_py(), marks), 0.5))
                 else:
-                    total = np.fromiter(map(weigh.__getitem__, words), float, len(words)).mean() + w[-1]
+                    total = np.fromiter(map(weigh.__getitem__, words), float, len(words)).mean() \
+                        + w[STUTTER] * repeats(words) + w[-1]
                     scores.append(float(1 / (1 + np.exp(-np.clip(total, -30, 30)))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())],
                                              names=["doc_id", "score"])

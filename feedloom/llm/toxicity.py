@@ -28,7 +28,8 @@ from feedloom.llm.common import python_ready, stored
 MOST_TOXIC, MOST_ORDINARY = 3_000, 9_000
 WINDOW, LEVEL = 96, 9
 BASE_BYTES, OWN_BYTES = 8_192, 2_048
-LEAST_Z, LEAST_RATIO, MOST_WORDS = 7.0, 8.0, 400
+LEAST_Z, LEAST_RATIO, MOST_WORDS = 4.5, 8.0, 400
+OPENING = 60
 MOST_WINDOWS, MOST_SEGMENT = 20_000, 4_000
 
 
@@ -74,13 +75,17 @@ def _trained(samples: list[bytes], size: int, pad: bytes) -> bytes:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, train) -> DataFrame:
-    """(text, toxic) of the bounded training sample. Its ids are few and broadcast; texts do not move."""
+    """(doc_id, text, toxic) of the bounded training sample. Its ids are few and broadcast. Of documents
+    that open alike one stays: copies would pass their words off as typical of a class."""
     known = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(train)
     order = F.xxhash64("doc_id", F.lit("sample"))
     some = known.filter("toxic = 1").orderBy(order, "doc_id").limit(MOST_TOXIC) \
         .unionAll(known.filter("toxic != 1").orderBy(order, "doc_id").limit(MOST_ORDINARY))
     some = stored(docs.sparkSession, some.withColumn("toxic", (F.col("toxic") == 1).cast("int")), "toxic-sample")
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    opening = F.substring(F.coalesce("text", F.lit("")), 1, OPENING)
+    return found.groupBy(opening.alias("opening"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d")) \
+        .select("d.doc_id", "d.text", "toxic")
 
 
 def _contrast(sample: DataFrame, n_toxic: int, n_ordinary: int) -> tuple[list[str], list[str]]:
