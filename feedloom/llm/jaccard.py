@@ -4,8 +4,10 @@
    here on one row per class moves, copies are never compared.
 2. Keys are ordered so that long, thus rare, shingles come first. Two sets of the wanted similarity
    share a key among the first ``|set| - ceil(t |set|) + 1`` of either, so classes meet in the bucket
-   of such a key. A bucket carries sizes and 512-bit signatures, not sets. Buckets beyond
-   ``MOST_IN_BUCKET`` classes are dealt onto a grid of cells in which every pair meets.
+   of such a key. A bucket carries sizes and signatures, not sets: a bitmap of all tokens, of a width
+   that grows with the set. Sets of neighbouring widths whose sizes could fit also meet at the smaller
+   width. Buckets beyond ``MOST_IN_BUCKET`` classes are dealt onto a grid of cells in which every pair
+   meets.
 3. In each bucket signature trees are traversed together (``signature_trees``); what could link gives
    candidate groups, usually a few documents.
 4. The texts of candidate classes are fetched, once each, and the trees are traversed again with exact
@@ -32,9 +34,10 @@ from feedloom.llm.pieces import Pieces
 from feedloom.llm.signature_trees import linked
 
 MOST_IN_BUCKET = 20_000
-MOST_TOKENS = 6_000_000
-BITS = 512
-SHOWN = 640  # tokens a signature shows at most, about
+MOST_TOKENS = 3_000_000
+WIDTHS = [512 << (2 * k) for k in range(5)]  # bits of a signature
+FULL = 1.25  # tokens per bit up to which a width is used
+MATRIX_BYTES = 1 << 25
 _BATCH = 40_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -68,21 +71,26 @@ def shingle_keys(text: str | None, k: int) -> np.ndarray:
     return np.unique((rank << np.uint64(60)) | (total >> np.uint64(4)))
 
 
-def _signature(keys: np.ndarray) -> tuple[bytes, int, int]:
-    """(bits, hidden tokens, level) of a set: a share 2**-level of its tokens sets bits."""
-    level = max(0, int(np.ceil(np.log2(len(keys) / SHOWN)))) if len(keys) > SHOWN else 0
-    mixed = _mixed(keys * _A)
-    shown = mixed[(mixed & np.uint64((1 << level) - 1)) == 0]
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shown >> np.uint64(55)).astype(np.int64) % BITS] = 1
-    return np.packbits(bits).tobytes(), len(keys) - int(bits.sum()), level
+def _signatures(keys: np.ndarray, percent: int) -> list[tuple[int, bytes, int]]:
+    """(width, bits, hidden tokens) of a set at its own width and, where a set of the next smaller width
+    could be similar enough, at that width too."""
+    n = len(keys)
+    own = next((k for k, width in enumerate(WIDTHS) if n <= width * FULL), len(WIDTHS) - 1)
+    places = (_mixed(keys * _A) >> np.uint64(40)).astype(np.int64)
+    out = []
+    for k in (own, own - 1):
+        if k == own or (k >= 0 and n * percent <= 100 * WIDTHS[k] * FULL):
+            bits = np.zeros(WIDTHS[k], np.uint8)
+            bits[places % WIDTHS[k]] = 1
+            out.append((WIDTHS[k], np.packbits(bits).tobytes(), n - int(bits.sum())))
+    return out
 
 
 def _sets(k: int, percent: int):
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            digests, sizes, prefixes, signatures, hidden, levels = [], [], [], [], [], []
+            digests, sizes, prefixes, signatures = [], [], [], []
             for text in batch.column("text"):
                 keys = shingle_keys(text.as_py(), k)
                 n = len(keys)
@@ -91,16 +99,15 @@ def _sets(k: int, percent: int):
                 digests.append(digest)
                 if n and digest not in seen:
                     seen.add(digest)
-                    bits, out, level = _signature(keys)
                     prefixes.append(keys[:n - -(-percent * n // 100) + 1].view(np.int64))
-                    signatures.append(bits), hidden.append(out), levels.append(level)
+                    signatures.append([dict(zip(("width", "bits", "hidden"), s)) for s in _signatures(keys, percent)])
                 else:
-                    prefixes.append(None), signatures.append(None), hidden.append(None), levels.append(None)
+                    prefixes.append(None), signatures.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.binary()),
-                 pa.array(hidden, pa.int64()), pa.array(levels, pa.int64())],
-                names=["doc_id", "digest", "n", "prefix", "bits", "hidden", "level"])
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.struct(
+                     [("width", pa.int32()), ("bits", pa.binary()), ("hidden", pa.int64())])))],
+                names=["doc_id", "digest", "n", "prefix", "signatures"])
     return run
 
 
@@ -135,29 +142,44 @@ def _edges(ids: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
 
 
 def _candidates(percent: int):
-    columns = ["bucket", "class_id", "n", "bits", "hidden", "level"]
+    columns = ["bucket", "class_id", "n", "width", "bits", "hidden"]
 
     def run(batches):
         for rows in _runs(batches, columns):
             number = {c: rows[c].to_numpy(zero_copy_only=False) for c in columns if c != "bits"}
-            bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            label = linked(number["bucket"], number["n"], bits, number["hidden"], number["level"], percent)
-            yield _edges(number["class_id"], label)
+            width = number["width"]
+            cuts = [0, *(np.flatnonzero(width[1:] != width[:-1]) + 1).tolist(), len(width)]
+            for low, high in zip(cuts, cuts[1:]):
+                bits = np.frombuffer(b"".join(rows["bits"].slice(low, high - low).to_pylist()), np.uint64)
+                label = linked(number["bucket"][low:high], number["n"][low:high],
+                               bits.reshape(high - low, -1), number["hidden"][low:high], percent)
+                yield _edges(number["class_id"][low:high], label)
     return run
 
 
 def exact_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Labels of sets by exact overlaps: bits for every token that two of the sets hold."""
+    """Labels of sets by exact overlaps: a bit for every token that two of the sets hold. Where these
+    are too many bits they are folded, and what then may be a link is checked by intersection."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     place = np.cumsum(count > 1) - 1
     shared = count[column] > 1
+    at, owner = place[column[shared]], owner[shared]
     width = max(1, -(-int((count > 1).sum()) // 64))
+    most = max(8, MATRIX_BYTES // (8 * len(sets)))
+    folded = width > most
+    width = min(width, most)
+    at %= 64 * width
     bits = np.zeros((len(sets), width), np.uint64)
-    at = place[column[shared]]
-    np.bitwise_or.at(bits, (owner[shared], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
-    size, none = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64)
-    return linked(none, size, bits, none, none, percent)
+    np.bitwise_or.at(bits, (owner, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    size = np.array([len(s) for s in sets])
+    hidden = np.bincount(owner, minlength=len(sets)) - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+    def overlap_fits(i, j):
+        both = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)])
+        return 100 * both >= percent * (size[i] + size[j] - both)
+
+    return linked(np.zeros(len(sets), np.int64), size, bits, hidden, percent, overlap_fits if folded else None)
 
 
 def _verified(k: int, percent: int):
@@ -199,9 +221,10 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: st
     spark = docs.sparkSession
     python_ready(spark)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    sets = stored(spark, rows.mapInArrow(_sets(k, percent), "doc_id bigint, digest binary, n bigint, prefix "
-                  "array<bigint>, bits binary, hidden bigint, level bigint"), "sets")
-    first = [F.first(c, ignorenulls=True).alias(c) for c in ("n", "prefix", "bits", "hidden", "level")]
+    sets = stored(spark, rows.mapInArrow(
+        _sets(k, percent), "doc_id bigint, digest binary, n bigint, prefix array<bigint>, "
+        "signatures array<struct<width: int, bits: binary, hidden: bigint>>"), "sets")
+    first = [F.first(c, ignorenulls=True).alias(c) for c in ("n", "prefix", "signatures")]
     classes = sets.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), *first)
     classes = stored(spark, classes, "classes")
 
@@ -210,10 +233,12 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: st
     met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     live = _grid(tokens.join(met, "token"), F.ceil(F.col("df") / MOST_IN_BUCKET), "token")
     signed = live.select("class_id", "bucket").join(
-        named.select("class_id", "n", "bits", "hidden", "level", F.get("prefix", F.lit(0)).alias("first")), "class_id")
+        named.select("class_id", "n", "signatures", F.get("prefix", F.lit(0)).alias("first")), "class_id") \
+        .select("class_id", "bucket", "n", "first", F.explode("signatures").alias("s")) \
+        .select("class_id", F.xxhash64("bucket", "s.width").alias("bucket"), "n", "first", "s.*")
     size_step = F.floor(F.log("n") / float(np.log(100 / percent)))
-    sorted_rows = signed.repartition("bucket").sortWithinPartitions("bucket", size_step, "first", "class_id")
-    candidates = sorted_rows.select("bucket", "class_id", "n", "bits", "hidden", "level") \
+    sorted_rows = signed.repartition("bucket").sortWithinPartitions("width", "bucket", size_step, "first", "class_id")
+    candidates = sorted_rows.select("bucket", "class_id", "n", "width", "bits", "hidden") \
         .mapInArrow(_candidates(percent), "a bigint, b bigint")
     groups = components(spark, candidates)
 

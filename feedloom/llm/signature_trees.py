@@ -18,9 +18,8 @@ _CHUNK = 1 << 20  # bytes of bitmaps compared at once
 class _Layer:
     """Nodes of one depth, in member order: each covers ``below[start:end]``."""
 
-    def __init__(self, start, end, low, high, bits, hidden, level_low, level_high):
-        self.start, self.end, self.low, self.high, self.bits = start, end, low, high, bits
-        self.hidden, self.level_low, self.level_high = hidden, level_low, level_high
+    def __init__(self, start, end, low, high, bits, hidden):
+        self.start, self.end, self.low, self.high, self.bits, self.hidden = start, end, low, high, bits, hidden
 
     def above(self, owner: np.ndarray, fan: int) -> tuple[_Layer, np.ndarray]:
         """The next layer and the bucket of each of its nodes."""
@@ -30,18 +29,14 @@ class _Layer:
         start = np.flatnonzero(at % fan == 0)
         return _Layer(start, np.r_[start[1:], n], np.minimum.reduceat(self.low, start),
                       np.maximum.reduceat(self.high, start), np.bitwise_or.reduceat(self.bits, start, axis=0),
-                      np.maximum.reduceat(self.hidden, start), np.minimum.reduceat(self.level_low, start),
-                      np.maximum.reduceat(self.level_high, start)), owner[start]
+                      np.maximum.reduceat(self.hidden, start)), owner[start]
 
     def may_link(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         low_a, low_b = self.low[a], self.low[b]
         fits = (self.high[b] * 100 >= percent * low_a) & (self.high[a] * 100 >= percent * low_b)
         a, b = a[fits], b[fits]
         common = np.bitwise_count(self.bits[a] & self.bits[b]).sum(axis=1, dtype=np.int64)
-        # A bitmap over a share of the tokens bounds the overlap with bitmaps over the same or a larger share.
-        never = np.iinfo(np.int64).max
-        most = np.minimum(np.where(self.level_low[a] >= self.level_high[b], self.hidden[a] + common, never),
-                          np.where(self.level_low[b] >= self.level_high[a], self.hidden[b] + common, never))
+        most = np.minimum(self.hidden[a], self.hidden[b]) + common
         fits[fits] = most >= -(-percent * (low_a[fits] + low_b[fits]) // (100 + percent))
         return fits
 
@@ -57,18 +52,19 @@ def _pairs(layer: _Layer, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.
     return i[keep], j[keep]
 
 
-def linked(bucket: np.ndarray, size: np.ndarray, bits: np.ndarray, hidden: np.ndarray, level: np.ndarray,
-           percent: int) -> np.ndarray:
+def linked(bucket: np.ndarray, size: np.ndarray, bits: np.ndarray, hidden: np.ndarray, percent: int,
+           verify=None) -> np.ndarray:
     """Per set, the first set of its bucket it is connected to over links (itself included).
 
     Sets of a bucket are neighbours. ``bits``: one row of 64-bit words per set; ``hidden``: tokens of
-    the set that its bits may not show; ``level``: the share 2**-level of the tokens that bits show.
+    the set that its bits may not show. ``verify(i, j)``: the pairs that are links, where bits and
+    hidden tokens alone cannot tell.
     """
     n = len(size)
     label = np.arange(n)
     if n < 2:
         return label
-    members = _Layer(None, None, size, size, bits, hidden, level, level)
+    members = _Layer(None, None, size, size, bits, hidden)
     layer, owner = members.above(bucket, LEAF)
     layers = [layer]
     while len(np.unique(owner)) < len(owner):
@@ -116,7 +112,11 @@ def linked(bucket: np.ndarray, size: np.ndarray, bits: np.ndarray, hidden: np.nd
             apart = (i != j) & (label[i] != label[j])
             i, j = i[apart], j[apart]
             fits = members.may_link(i, j, percent)
-            join(i[fits], j[fits])
+            i, j = i[fits], j[fits]
+            if verify is not None and len(i):
+                fits = verify(i, j)
+                i, j = i[fits], j[fits]
+            join(i, j)
 
     roots = np.arange(len(layers[-1].start))
     visit(len(layers) - 1, roots, roots)
