@@ -185,20 +185,22 @@ def build_lexicon(docs: DataFrame, vocabulary_path: str, most_words: int = 65_53
 
 
 def encode(docs: DataFrame, vocabulary_path: str, lexicon, id_column: str = "doc_id",
-           text_column: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): ids as little-endian unsigned 32-bit integers in one binary."""
+           text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(id, ``keep``, n_tokens, ids): ids as little-endian unsigned 32-bit integers in one binary."""
+    kept = [id_column, *(keep or [])]
+
     def run(batches):
         coder = _coder(vocabulary_path, lexicon)
         for batch in batches:
-            ids = [b"".join(coder.each(text.as_py() or "")) for text in batch.column(1)]
+            ids = [b"".join(coder.each(text.as_py() or "")) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[id_column, "n_tokens", "ids"])
+                [*batch.columns[1:], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                names=[*kept, "n_tokens", "ids"])
 
     python_ready(docs.sparkSession)
-    rows = docs.select(id_column, text_column)
-    kind = rows.schema[id_column].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids binary")
+    rows = docs.select(F.col(text_column).alias("_text"), *kept)
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInArrow(run, f"{kinds}, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids", to: str = "decoded") -> DataFrame:

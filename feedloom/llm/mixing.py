@@ -217,10 +217,13 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
 
 
 def mixed(plan: DataFrame, docs: DataFrame, id_column: str = "doc_id", seed: int = 1) -> DataFrame:
-    """The mix itself: the columns of ``docs`` and ``shard``, one row per copy, shuffled in each shard.
+    """The mix itself: the columns of ``docs`` and ``mix_shard``, one row per copy, shuffled in each shard.
 
-    Repeated rows of one id count as one document with the copies of all of them.
+    Repeated rows of one id count as one document with the copies of all of them. A column of ``docs``
+    that is called ``mix_shard`` is replaced.
     """
-    copies = plan.select(id_column, F.explode("shards").alias("shard"))
-    return docs.dropDuplicates([id_column]).join(copies, id_column) \
-        .repartition("shard").sortWithinPartitions("shard", F.xxhash64(F.lit(seed), id_column, "shard"), id_column)
+    copies = plan.select(F.col(id_column).alias("_mix_id"), F.explode("shards").alias("mix_shard"))
+    single = docs.drop("mix_shard").dropDuplicates([id_column])
+    return single.join(copies, single[id_column].eqNullSafe(copies["_mix_id"])).drop(copies["_mix_id"]) \
+        .repartition("mix_shard").sortWithinPartitions(
+            "mix_shard", F.xxhash64(F.lit(seed), id_column, "mix_shard"), id_column)

@@ -213,29 +213,47 @@ def fit(docs: DataFrame) -> dict:
     return model
 
 
+def _scorer(m: dict):
+    """A function from a text to its score."""
+    w, marks = m["weights"], Pieces(_marks)
+    weigh = Pieces(lambda word: float(sum(w[i] for i in features(word))))
+
+    def of(text: str | None) -> float:
+        words = (text or "").split()
+        if not words:
+            return 0.0
+        if w is None:
+            return m["posterior"].get(vote_pattern(text, marks), 0.5)
+        total = np.fromiter(map(weigh.__getitem__, words), float, len(words)).mean() + w[STUTTER] * repeats(words) + w[-1]
+        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+    return of
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score) of every document; 1: good."""
     python_ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
-        w, marks = m["weights"], Pieces(_marks)
-        weigh = Pieces(lambda word: float(sum(w[i] for i in features(word))))
+        of = _scorer(shared.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("text"):
-                words = (text.as_py() or "").split()
-                if not words:
-                    scores.append(0.0)
-                elif w is None:
-                    scores.append(m["posterior"].get(vote_pattern(text.as_py(), marks), 0.5))
-                else:
-                    total = np.fromiter(map(weigh.__getitem__, words), float, len(words)).mean() \
-                        + w[STUTTER] * repeats(words) + w[-1]
-                    scores.append(float(1 / (1 + np.exp(-np.clip(total, -30, 30)))))
+            scores = [of(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())],
                                              names=["doc_id", "score"])
 
     rows = docs.select("doc_id", "text")
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep(docs: DataFrame, model: dict) -> DataFrame:
+    """The documents that the scorer does not reject, with all their columns, in one pass."""
+    python_ready(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        of = _scorer(shared.value)
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([of(value.as_py()) >= CUTOFF for value in text], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
