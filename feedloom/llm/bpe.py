@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import python_ready
+from feedloom.llm.common import python_ready, stored
 from feedloom.llm.pieces import PieceEncoder, Pieces
 from feedloom.llm.transducer import compile_transducer, mapped
 
@@ -32,6 +32,7 @@ from feedloom.llm.transducer import compile_transducer, mapped
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SHORT = 48
 NEVER = 1 << 30
+LEAST_COUNT = 4
 
 
 def byte_characters() -> dict[str, int]:
@@ -169,16 +170,26 @@ def _piece_counts(batches):
 
 
 def build_lexicon(docs: DataFrame, vocabulary_path: str, most_words: int = 65_536, text_column: str = "text"):
-    """A broadcast lexicon of the words in the ``most_words`` most frequent pieces of all texts.
+    """A broadcast lexicon of the words in the most frequent pieces of all texts, at most ``most_words``.
 
-    Its size is bounded by the parameter, not by the corpus.
+    Its size is bounded by the parameter, not by the corpus: a histogram of the counts, in steps of an
+    eighth of a power of two, tells from which count on pieces are few enough to be gathered.
     """
     spark = docs.sparkSession
     python_ready(spark)
     vocab = vocabulary(vocabulary_path)
-    pieces = docs.select(F.col(text_column).alias("text")).filter("text is not null") \
+    step = F.floor(F.log2("n") * 8)
+    counts = docs.select(F.col(text_column).alias("text")).filter("text is not null") \
         .mapInArrow(_piece_counts, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")) \
-        .filter(F.length("piece") <= 64).orderBy(F.desc("n"), "piece").limit(most_words).collect()
+        .filter((F.col("n") >= LEAST_COUNT) & (F.length("piece") <= 64)).withColumn("step", step)
+    counts = stored(spark, counts, "piece-counts")
+    least, total = None, 0
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > most_words:
+            break
+        least = row.step
+    pieces = [] if least is None else counts.filter(F.col("step") >= least).orderBy(F.desc("n"), "piece").collect()
     words = dict.fromkeys(word for row in pieces for word in WORD.findall(" " + row.piece))
     block = compile_transducer((word.encode(), vocab.merged(word.encode())) for word in words)
     return spark.sparkContext.broadcast({"block": block, "digest": hashlib.sha256(block).hexdigest()})
