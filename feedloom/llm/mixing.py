@@ -4,7 +4,8 @@
    excess goes to the others by weight.
 2. The documents of a source are dealt into blocks of about ``block_words`` words by a hash, which
    permutes them. A target of 2.3 sources takes every block twice and, in block order, blocks for the
-   rest; the block at the end of the rest gives documents, largest first, as they still fit.
+   rest; the block at the end of the rest gives documents, largest first, as they still fit, and one
+   more if that comes closer.
 3. The blocks each source gives are exact quotas. From the root, which holds all output shards, every
    node hands its left half a draw without replacement from its quotas (a multivariate hypergeometric
    draw, source after source), until each shard has exact quotas per source that add up to the whole.
@@ -47,7 +48,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS) -> DataFrame:
     rest = F.sum("source_size").over(everything) - F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0.0)).over(everything)
     free = F.sum(F.when(F.col("capped"), 0.0).otherwise(F.col("weight"))).over(everything)
     return capped.select("source", "source_size", F.when(F.col("capped"), F.col("cap"))
-                         .otherwise(F.least(F.col("cap"), rest / free * F.col("weight"))).alias("target"))
+                         .otherwise(F.least(F.col("cap"), F.try_divide(rest, free) * F.col("weight"))).alias("target"))
 
 
 def _log_factorial(n: Column) -> Column:
@@ -145,7 +146,7 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
     sized = stored(spark, docs.select(*keep, F.col(source_column).alias("source"), key.alias("_key"),
                                       F.size(words(F.col(text_column))).cast("long").alias("size")), "sizes")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
-    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+    full = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0).cast("int")
     numbered = source_targets(sized, weights).withColumn("blocks", n_blocks).withColumn("full", full) \
         .withColumn("rest", F.round(F.col("target") - F.col("full") * F.col("source_size")).cast("long")) \
         .withColumn("number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
@@ -208,7 +209,16 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
     fitted = F.aggregate("list", F.struct(F.col("room").alias("room"), F.array().cast("array<boolean>").alias("taken")),
                          lambda s, d: F.struct(
                              F.when(d["size"] <= s["room"], s["room"] - d["size"]).otherwise(s["room"]).alias("room"),
-                             F.array_append(s["taken"], d["size"] <= s["room"]).alias("taken")), lambda s: s["taken"])
+                             F.array_append(s["taken"], d["size"] <= s["room"]).alias("taken")))
+
+    def nearest(state):
+        """One more document, the smallest left, where that comes closer."""
+        last = F.size(state["taken"]) - F.array_position(F.reverse(state["taken"]), False)
+        smallest = F.get("list", last.cast("int"))["size"]
+        closer = (F.array_position(state["taken"], False) > 0) & (smallest < 2 * state["room"])
+        return F.transform(state["taken"], lambda t, i: t | ((i == last) & F.coalesce(closer, F.lit(False))))
+
+    fitted = let(fitted, nearest)
     at_end = listed.withColumn("taken", fitted).select(
         "whole_in", "rest_in", F.explode(F.arrays_zip("list", "taken")).alias("z")) \
         .select("z.list.*", F.when(F.col("z.taken"), F.array_append("whole_in", F.col("rest_in")))

@@ -6,8 +6,9 @@ and certifies them on the other half: a cutoff is admissible if, were its true f
 ``risk / rules`` or more, so few rejected good documents would be seen with a probability of at most
 ``error / tests`` (exact binomial tail, Bonferroni over all tests of all strata). So with probability
 1 - error, no stratum loses more than ``risk`` of its good documents to the method. Of the admissible
-cutoffs of a rule the one with the largest gain is taken, the mildest on ties; a stratum with too few
-labels gets none and keeps everything that passes the base.
+cutoffs of a rule the one with the largest gain (share of bad rejected less ``COST`` times that of good)
+is taken, the mildest on ties; a stratum with too few labels gets none and keeps everything that passes
+the base.
 
 Null and empty texts have no words and fail the base. Null strata form a stratum of their own, ties
 stay below a cutoff (only larger values are rejected), repeated rows are judged alike, and an empty
@@ -23,18 +24,19 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import SPACE_CHARS, let, stored, words
 
 RISK, ERROR = 0.05, 0.05
+COST = 20.0  # what losing a share of the good weighs against rejecting the same share of the bad
 PROPOSED_GOOD = (0.95, 0.98, 0.99, 0.995, 0.999, 1.0)
 PROPOSED_BAD = (0.1, 0.3, 0.5)
 FEW = 64
 
 # Rules: a statistic of a document, large where quality is low.
 RULES: dict[str, str] = {
-    "symbols": "n_symbols / n_words",
-    "marks": "n_marks / n_words",
-    "capitals": "n_capitals / word_chars",
-    "repeated_words": "n_repeat_words / n_words",
-    "repeated_lines": "n_dup_lines / n_lines",
-    "long_words": "word_chars / n_words",
+    "symbols": "try_divide(n_symbols, n_words)",
+    "marks": "try_divide(n_marks, n_words)",
+    "capitals": "try_divide(n_capitals, word_chars)",
+    "repeated_words": "try_divide(n_repeat_words, n_words)",
+    "repeated_lines": "try_divide(n_dup_lines, n_lines)",
+    "long_words": "try_divide(word_chars, n_words)",
 }
 
 
@@ -127,7 +129,7 @@ def select_cutoffs(statistics: DataFrame, labels: DataFrame, stratum: str, id_co
     judged = tested.withColumn("tail", binomial_tail(F.col("k"), F.col("n"), share)) \
         .withColumn("admissible", (F.col("n") > 0) & (F.col("tail") <= error / tests))
     gain = F.when(F.col("admissible") & (F.col("caught") > 0),
-                  F.col("caught") / F.col("n_bad") - F.col("k") / F.col("n"))
+                  F.col("caught") / F.col("n_bad") - COST * F.col("k") / F.col("n"))
     best = judged.withColumn("gain", gain).filter("gain > 0").groupBy("stratum", "rule") \
         .agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("best"))
     return judged.join(best, ["stratum", "rule"], "left") \
