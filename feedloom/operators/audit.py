@@ -29,14 +29,17 @@ def layout_metadata(spark: SparkSession, feed: Feed) -> DataFrame:
     return local_table(spark, rows, FILE_METADATA)
 
 
+TALLY = "_ROW_TYPE STRING, _ROW_STATUS INT, _FAILURES ARRAY<STRING>, _ROWS BIGINT"
+
+
 def tally(rows: DataFrame) -> DataFrame:
     """Rows per type, status and list of failure types: the only pass over the data.
 
-    Combined on the map side; the result has at most a few hundred rows per record type.
+    Combined on the map side; the result has at most a few hundred rows per record type. ``rows`` of
+    ``outcomes`` already carry the types alone.
     """
-    return rows.groupBy("_ROW_TYPE", "_ROW_STATUS",
-                        F.col("_ROW_EXCEPTIONS.type").alias("_FAILURES")) \
-        .agg(F.count(F.lit(1)).alias("_ROWS"))
+    failed = F.col("_FAILURES") if "_FAILURES" in rows.columns else F.col("_ROW_EXCEPTIONS.type").alias("_FAILURES")
+    return rows.groupBy("_ROW_TYPE", "_ROW_STATUS", failed).agg(F.count(F.lit(1)).alias("_ROWS"))
 
 
 def row_count(rows: DataFrame) -> DataFrame:
@@ -114,7 +117,8 @@ def audit_values(counted: DataFrame, metadata: DataFrame, categories: DataFrame,
         every += [value("ROWS_IN", "ROW_TYPE")]
     failed = ("transform(_FAILURES, x -> named_struct('section', cast(null AS string), 'level', 'ROW_TYPE', "
               "'row_type', _ROW_TYPE, 'exception', x, 'n', _ROWS))")
-    spread = (f"inline(CASE WHEN _ROW_STATUS <> {ACCEPTED} THEN concat(array({', '.join(every + refused)}), {failed})"
+    # a tally row without a type counts missing lines: they came in, and that is all
+    spread = (f"inline(CASE WHEN _ROW_TYPE IS NULL THEN array({every[0]}) WHEN _ROW_STATUS <> {ACCEPTED} THEN concat(array({', '.join(every + refused)}), {failed})"
               f" WHEN ROW_TYPE IS NULL THEN array({', '.join(every + kept)})"
               f" ELSE array({', '.join(every + kept + named)}) END)")
 
@@ -137,27 +141,25 @@ def audit_values(counted: DataFrame, metadata: DataFrame, categories: DataFrame,
                     F.lit(None).cast("string").alias("_REPORT_LINE_LABEL"), "_REPORT_RESULT_VALUE"))
 
 
-def report_lines(template: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The template, its row-type lines repeated for every record type of the file."""
-    types = metadata.select(F.lit("ROW_TYPE").alias("_ROW_LEVEL"), "ROW_TYPE", "ROW_TYPE_NO")
-    return template.join(types, F.col("REPORT_LEVEL") == F.col("_ROW_LEVEL"), "left").select(
-        *template.columns,
-        F.coalesce("ROW_TYPE", F.lit(FILE)).alias("ROW_TYPE"),
-        F.coalesce("ROW_TYPE_NO", F.lit(0)).alias("ROW_TYPE_NO"))
-
-
-def filled_report(values: DataFrame, template: DataFrame, metadata: DataFrame,
-                  file_name: str) -> DataFrame:
-    """Report lines with their values; a line without a value stays, with null."""
-    lines = report_lines(template, metadata)
-    same = ((lines.REPORT_SECTION == values._REPORT_SECTION)
-            & (lines.REPORT_LEVEL == values._REPORT_LEVEL)
-            & (lines.ROW_TYPE == values._ROW_TYPE))
-    return lines.join(values, same, "left").select(
-        F.coalesce("REPORT_LINE_NO", F.lit(0)).alias("REPORT_LINE_NO"), "REPORT_SECTION_NO",
-        "REPORT_SECTION", "REPORT_LEVEL", F.lit(file_name).alias("FILE_NAME"), "ROW_TYPE_NO",
-        "ROW_TYPE", "REPORT_LINE_LABEL", "REPORT_RESULT_LABEL",
-        F.col("_REPORT_RESULT_VALUE").alias("REPORT_RESULT_VALUE"))
+def filled_report(values: DataFrame, template: DataFrame, metadata: DataFrame, file_name: str) -> DataFrame:
+    """The template's lines with their values, null where there is none.
+
+    A line for the file stands once, a line for record types once per type of the metadata. There are
+    at most as many values as sections times record types, so they are broadcast to the lines.
+    """
+    for_types = F.col("REPORT_LEVEL") == "ROW_TYPE"
+    types = F.broadcast(metadata.select(F.lit("ROW_TYPE").alias("_LEVEL"), F.col("ROW_TYPE_NO").alias("_NO"),
+                                        F.col("ROW_TYPE").alias("_NAME")))
+    per_type = template.where(for_types).join(types, F.col("REPORT_LEVEL") == F.col("_LEVEL"), "left").drop("_LEVEL")
+    once = template.where(~for_types).withColumns({"_NO": F.lit(0), "_NAME": F.lit(FILE)})
+    lines = once.unionByName(per_type).withColumns(
+        {"ROW_TYPE_NO": F.coalesce("_NO", F.lit(0)), "ROW_TYPE": F.coalesce("_NAME", F.lit(FILE))})
+    keyed = values.select(F.concat_ws("\n", "_REPORT_SECTION", "_REPORT_LEVEL", "_ROW_TYPE").alias("_KEY"),
+                          "_REPORT_RESULT_VALUE")
+    wanted = F.concat_ws("\n", "REPORT_SECTION", "REPORT_LEVEL", "ROW_TYPE")
+    return lines.withColumn("_WANTED", wanted).join(F.broadcast(keyed), F.col("_WANTED") == F.col("_KEY"), "left").select(
+        "REPORT_LINE_NO", "REPORT_SECTION_NO", "REPORT_SECTION", "REPORT_LEVEL", F.lit(file_name).alias("FILE_NAME"),
+        "ROW_TYPE_NO", "ROW_TYPE", "REPORT_LINE_LABEL", "REPORT_RESULT_LABEL", F.col("_REPORT_RESULT_VALUE").alias("REPORT_RESULT_VALUE"))
 
 
 def long_report(filled: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ def exception_rows(rows: DataFrame) -> DataFrame:
     A rejected row has at least one failure, so ``explode_outer`` gives what ``explode`` would,
     without the filter on the list that would make Spark build every list twice.
     """
+    origin = [c for c in rows.columns if c in ("_FILE", "_BLOCK")]
     return rejected(rows).select(
-        "_ROW_ID", "_ROW_TYPE", F.explode_outer("_ROW_EXCEPTIONS").alias("x")).select(
-        "_ROW_ID", "_ROW_TYPE",
+        *origin, "_ROW_ID", "_ROW_TYPE", F.explode_outer("_ROW_EXCEPTIONS").alias("x")).select(
+        *origin, "_ROW_ID", "_ROW_TYPE",
         F.col("x.type").alias("_EXCEPTION_TYPE"),
         F.col("x.source").alias("_EXCEPTION_SOURCE"),
         F.col("x.desc").alias("_EXCEPTION_DESC"))

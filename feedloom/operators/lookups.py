@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import by_case, cut
+from ..functions.text import LINE, by_case, cut
 from ..layouts.model import LOOKUP, Feed
 
 KEY, VALUE = "_KEY", "_VALUE"
@@ -15,6 +15,7 @@ KEY, VALUE = "_KEY", "_VALUE"
 # execution splits the partitions of hot codes.
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_CHARS = 1_000
+SPREAD = 4_096
 
 
 def value_column(table: str) -> str:
@@ -42,7 +43,13 @@ def lookup_key(feed: Feed, number: str, table: str) -> str:
 
 
 def attach_lookup(df: DataFrame, key: str, lookup: DataFrame, table: str) -> DataFrame:
-    """Left join on a lookup with unique keys; adds the value, null for a miss."""
+    """Left join on a lookup with unique keys; adds the value, null for a miss.
+
+    Lines of record types without this lookup have no key. Each gets one of ``SPREAD`` keys that no
+    lookup holds, so that a join that shuffles does not bring all of them to one task.
+    """
+    none = f"concat('\\u0001', pmod(xxhash64({LINE}), {SPREAD}))" if LINE in df.columns else "NULL"
+    key = f"coalesce({key}, {none})"
     renamed = lookup.select(F.col(KEY).alias(f"_KEY_{table}"),
                             F.col(VALUE).alias(value_column(table)))
     return df.join(renamed, F.expr(f"_KEY_{table} = {key}"), "left").drop(f"_KEY_{table}")

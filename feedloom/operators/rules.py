@@ -78,3 +78,9 @@ def failures(rules: list[Rule]) -> str:
     if not rules:
         return NO_EXCEPTIONS
     return f"filter(array({', '.join(r.failure() for r in rules)}), x -> x IS NOT NULL)"
+
+
+def failure_types(rules: list[Rule]) -> str:
+    """Only the types of the failures, in rule order: no text is built."""
+    whens = ", ".join(f"CASE WHEN {r.fails} THEN {literal(r.kind)} END" for r in rules)
+    return f"filter(array({whens}), x -> x IS NOT NULL)" if rules else "cast(array() AS array<string>)"

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..layouts import FEEDS, Feed
 from ..layouts import reports
 from ..operators import audit
 from ..operators.exceptions import exception_rows
 from ..operators.lookups import checked_lookup
-from ..operators.route import accepted, rejected
-from ..session import tune
+from ..layouts.model import UNRECOGNIZED
+from ..operators.route import accepted
+from ..operators.rules import ACCEPTED
+from ..session import drop_folder, scratch_folder, tune
 from ..sinks import writers
 from ..sources import tables
-from ..sources.lines import read_lines, readable, unreadable
+from ..sources.lines import ORIGIN, read_lines, readable
 from .transform import transform, verdicts
 
 FILE_TYPES = {"position_balance": reports.POSITION_BALANCE_TYPES,
@@ -53,56 +55,83 @@ def default_report_template(spark: SparkSession) -> DataFrame:
     return tables.pipe_text(spark, reports.REPORT_TEMPLATE, tables.REPORT_TEMPLATE)
 
 
-def audit_report(rows: DataFrame, inputs: Inputs, file_name: str, complete: bool = False) -> DataFrame:
-    """Report lines with their values, for ``long_report`` and ``tabular_report``."""
-    values = audit.audit_values(audit.tally(rows), inputs.file_metadata, inputs.exception_metadata,
-                                complete)
+def report_of(counted: DataFrame, inputs: Inputs, file_name: str, complete: bool = False) -> DataFrame:
+    """Report lines with their values, for ``long_report`` and ``tabular_report``, from a tally."""
+    values = audit.audit_values(counted, inputs.file_metadata, inputs.exception_metadata, complete)
     return audit.filled_report(values, inputs.report_template, inputs.file_metadata, file_name)
 
 
-def run_feed(spark: SparkSession, feed: Feed | str, source: str | DataFrame, out: str, *,
+def audit_report(rows: DataFrame, inputs: Inputs, file_name: str, complete: bool = False) -> DataFrame:
+    return report_of(audit.tally(rows), inputs, file_name, complete)
+
+
+def _split_verdicts(rows: DataFrame, feed: Feed, folder: str) -> tuple[DataFrame, list[tuple]]:
+    """One pass: what is not accepted is stored in ``folder``; accepted and missing lines are counted.
+
+    The counts are observed while the rows are written: accepted lines are neither kept nor shuffled.
+    """
+    seen = Observation("verdicts")
+    ok = ~F.col("_MISSING") & (F.col("_ROW_STATUS") == ACCEPTED)
+    types = [t.name for t in feed.types] + [UNRECOGNIZED]
+    observed = rows.observe(seen, F.count_if("_MISSING").alias("missing"), *(
+        F.count_if(ok & (F.col("_ROW_TYPE") == name)).alias(f"t{i}") for i, name in enumerate(types)))
+    observed.where(~ok).write.parquet(folder)
+    counts = seen.get
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder), [
+        (name, ACCEPTED, [], counts[f"t{i}"]) for i, name in enumerate(types) if counts[f"t{i}"]] + [
+        (None, None, [], counts["missing"])] * bool(counts["missing"])
+
+
+def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | DataFrame, out: str, *,
              inputs: Inputs | None = None, file_name: str | None = None, mode: str = "append",
              skip_empty: bool = False, diagnostic: bool = False, complete: bool = False) -> None:
     """Write ``target``, ``rejected``, ``exceptions``, ``audit`` and ``audit_tab`` below ``out``.
 
-    The source is read twice. The target is written straight from the scan, so its text is never
-    stored in between. Everything else comes from the verdicts, a few bytes per accepted line plus
-    the rejected lines, which are kept (spilling to disk) until the run is over; a lost part is
-    recomputed from its own part of the source.
+    The source is read twice: once for the verdicts, where rejected lines go to a scratch folder and
+    all others are only counted, and once for the target. ``target`` has one folder per source file,
+    in the order of its lines; a source that is a table has one folder in the order of ``_ROW_ID``,
+    which must be a function of the row (an id column, or the place in a plain scan). Rejected lines
+    and exceptions keep their blanks. Every line is accepted, rejected or missing (null), so rows in
+    are the sum of the three. Of equal lookup keys one counts (see ``unique_lookup``).
     """
     tune(spark)
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     inputs = (inputs or Inputs()).filled(spark, feed)
-    lines = read_lines(spark, source) if isinstance(source, str) else source
-    file_name = file_name or (source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str)
-                              else feed.name)
+    table = isinstance(source, DataFrame)
+    lines = source if table else read_lines(spark, source, origin=True)
+    order = ("_ROW_ID",) if table else (*ORIGIN, "_ROW_ID")
+    file_name = file_name or (source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str) else feed.name)
 
-    checks = {name: checked_lookup(df) for name, df in inputs.lookups.items()}
+    checks = {name: checked_lookup(tables.unique_lookup(df)) for name, df in inputs.lookups.items()}
     lookups = {name: df for name, (df, _) in checks.items()}
-    in_order = all(small for _, small in checks.values())      # else the join shuffles the rows
-    order = None if in_order else ("_ROW_ID",)
-
-    def put(df, write, folder, **options):
-        if skip_empty:
-            writers.write_if_any(df, write, f"{out}/{folder}", mode=mode, **options)
-        else:
-            write(df, f"{out}/{folder}", mode=mode, **options)
+    moved = not all(small for _, small in checks.values())      # the join with a large lookup shuffles
 
-    good = accepted(transform(readable(lines), feed, lookups))
-    put(good, writers.write_target, "target", order=order)
-    if diagnostic:
-        writers.write_diagnostic(good, f"{out}/target_with_row_id")
-
-    rows = verdicts(readable(lines), feed, lookups).persist(StorageLevel.MEMORY_AND_DISK)
+    scratch = scratch_folder(spark, "rejected")
     try:
-        bad = rejected(rows)
-        put(bad, writers.write_rejected, "rejected")
-        put(exception_rows(bad), writers.write_exceptions, "exceptions", order=order)
-        filled = audit_report(rows, inputs, file_name, complete).persist()
+        bad, counts = _split_verdicts(
+            verdicts(lines.withColumn("_MISSING", F.col("value").isNull()), feed, lookups), feed, scratch)
+        refused = bad.where(~F.col("_MISSING"))
+        n_bad, n_good = refused.count(), sum(n for _, status, _, n in counts if status == ACCEPTED)
+        if n_bad or not skip_empty:
+            writers.write_rejected(refused, f"{out}/rejected", mode, order)
+            writers.write_exceptions(exception_rows(refused), f"{out}/exceptions", mode, order)
+        if any(status is None for _, status, _, _ in counts):
+            missing = bad.where("_MISSING").select("_ROW_ID", F.lit(None).cast("string").alias("value"))
+            writers.write_quarantine(missing, f"{out}/error", mode)
+
+        counted = audit.tally(refused).unionByName(
+            tables.local_table(spark, counts, audit.TALLY)) if counts else audit.tally(refused)
+        filled = report_of(counted, inputs, file_name, complete)
         writers.write_report(audit.long_report(filled), f"{out}/audit", mode)
         writers.write_report(audit.tabular_report(filled), f"{out}/audit_tab", mode)
-        filled.unpersist()
+
+        good = accepted(transform(readable(lines), feed, lookups))
+        if n_good or not skip_empty:
+            if table:
+                writers.write_target(good, f"{out}/target", mode, order)
+            else:
+                writers.write_target_by_file(good, f"{out}/target", lines.inputFiles(), mode, moved)
+        if diagnostic:
+            writers.write_diagnostic(good, f"{out}/target_with_row_id")
     finally:
-        rows.unpersist()
-    if not isinstance(source, str):      # a text file has no null line, a table may have
-        writers.write_if_any(unreadable(lines), writers.write_quarantine, f"{out}/error", mode=mode)
+        drop_folder(spark, scratch)

@@ -209,6 +209,37 @@ def _ledger_report(table: str) -> str:
     return feed_ctes(LEDGER, ledger_lines_sql(table)) + report_ctes(LEDGER_TYPES)
 
 
+# Fields in, fields out and translated fields of the feeds without a metadata file.
+TYPES = {
+    "plan_valuation": "Header record|16|16|0\nKEY DATA RECORD|24|24|6\nTRAILER RECORD|15|14|0",
+    "dividend_accounts": "Header record|2|2|0\nDRIPA RECORD|11|11|0",
+    "dividend_securities": "Header record|2|2|0\nDRIPS RECORD|8|8|0",
+    "beneficiary": "HEADER|9|9|0\nTRAILER|8|8|0\nRECORD LINE 1|23|23|0\nRECORD LINE 2|35|35|0\n"
+                   "RECORD LINE 3|31|31|0\nRECORD LINE 4|18|18|0",
+    "registered_plan": "HEADER|10|10|2\nREGISTERED PLAN RECORD|36|36|14\nPRINCIPAL RECORD 2|32|32|3\n"
+                       "PRINCIPAL RECORD 3|8|8|2\nRRIF PAY INFO RECORD 1|44|44|8\nRRIF PAY INFO RECORD 2|22|22|3\n"
+                       "RRIF PAY INFO RECORD 3|22|21|6\nDECEASED RECORD 1|10|10|2\nDECEASED RECORD 2|18|18|2\n"
+                       "RRIF BANK B PAY INFO RECORD|32|32|6\nTRAILER|9|9|2",
+}
+
+
+def _types(name: str) -> str:
+    if name in TYPES:
+        lines = TYPES[name].split("\n") + [f"{UNRECOGNIZED}|0|0|0"]
+        return "\n".join(["", *(f"{i}|{line}" for i, line in enumerate(lines, 1))])
+    return {"position_balance": reports.POSITION_BALANCE_TYPES, "memo_position": reports.MEMO_POSITION_TYPES}[name]
+
+
+def _with_missing(report: str) -> str:
+    """The ledger report of a table whose rows with k % 23 = 0 have no line: they only came in."""
+    from .queries import LEDGER_TYPES
+    from .samples import LEDGER
+    lines = f"SELECT _ROW_ID, value FROM ({ledger_lines_sql('customer')}) a0 WHERE _ROW_ID % 23 <> 0"
+    ctes = report_ctes(LEDGER_TYPES).replace("SELECT 'ROWS_IN', 'FILE', '<file>', count(*) FROM done",
+                                             "SELECT 'ROWS_IN', 'FILE', '<file>', count(*) FROM customer")
+    return feed_ctes(LEDGER, lines) + ctes + report
+
+
 def _split_columns() -> str:
     wanted = (1, 2, 3, 6, 8, 9, 10, 11, 21, 22)
     return ", ".join(f"trim({cut(a + 1, b)}) AS c{i}" for i, (a, b) in
@@ -258,6 +289,8 @@ def all_oracles() -> dict[str, str]:
     header_no = [t.name for t in balance.types].index(header)
     nations = ("(SELECT arg_max('N' || CAST(n_nationkey AS VARCHAR), n_nationkey) FROM nation"
                " WHERE substr('1234567890X', CAST(n_nationkey % 11 + 1 AS INT), 1) = c_acct)")
+    padded = ("(SELECT max('N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')) FROM nation"
+              " WHERE substr('1234567890X', CAST(n_nationkey % 11 + 1 AS INT), 1) = c_acct)")
     out = {
         "fw_extract": ledger("customer") + (
             "SELECT k AS _ROW_ID, '068' AS client, c_key AS key, c_nation AS nation,"
@@ -317,6 +350,19 @@ def all_oracles() -> dict[str, str]:
             "SELECT k AS _ROW_ID, CASE WHEN k % 23 = 0 THEN 'quarantined' WHEN status = 0 THEN 'accepted'"
             " ELSE 'rejected' END AS route FROM st"),
         "sink_job": _job_counts(),
+        "job_target_order": ledger("orders") + (
+            "SELECT row_number() OVER (ORDER BY k % 50 <> 0, k) AS line_no, rendered AS value FROM st WHERE status = 0"),
+        "job_rejected": ledger("orders") + (
+            f"SELECT row_type AS _ROW_TYPE, {STATUS}, line AS _ROW_DATA FROM st WHERE status <> 0"),
+        "job_exceptions": ledger("orders") + LEDGER_EXCEPTIONS.replace("k AS _ROW_ID, ", ""),
+        "job_audit": _with_missing(LONG),
+        "job_audit_tab": _with_missing(tabular()),
+        "job_quarantine": "SELECT c_custkey AS _ROW_ID, CAST(NULL AS VARCHAR) AS value FROM customer"
+                          " WHERE c_custkey % 23 = 0",
+        "fw_lookup_duplicates": ledger("customer").replace(ACCOUNT_CASE, padded) + (
+            f"SELECT k AS _ROW_ID, {STATUS}, CASE WHEN status = 0 THEN rendered ELSE line END AS _ROW_DATA FROM st"),
+        "fw_lookup_large": ledger("customer").replace(ACCOUNT_CASE, padded) + (
+            f"SELECT k AS _ROW_ID, {STATUS}, CASE WHEN status = 0 THEN rendered ELSE line END AS _ROW_DATA FROM st"),
         "source_table_lines": ledger("orders") + (
             f"SELECT row_type AS _ROW_TYPE, {STATUS}, count(*) AS n FROM st GROUP BY row_type, status"),
         "audit_counts": ledger("lineitem") + (
@@ -343,8 +389,6 @@ def all_oracles() -> dict[str, str]:
             " UNION ALL SELECT 'ROWS_IN', 'ROW_TYPE', _ROW_TYPE, count(*) FROM done GROUP BY _ROW_TYPE"),
         "audit_report_long": _ledger_report("customer") + LONG,
         "audit_report_tabular": _ledger_report("customer") + tabular(),
-        "position_balance_audit": feed_ctes(balance, lines_sql(balance))
-        + report_ctes(reports.POSITION_BALANCE_TYPES) + tabular(),
         "type_split_trim": (
             f"SELECT _ROW_ID, {_split_columns()} FROM ({lines_sql(FEEDS['memo_position'], 'orders')}) l"
             " WHERE substr(value, 25, 1) = '1' AND NOT contains(value, 'DATE=')"),
@@ -354,4 +398,5 @@ def all_oracles() -> dict[str, str]:
     for feed in FEEDS.values():
         out[f"{feed.name}_transform"] = feed_transform(feed, lines_sql(feed))
         out[f"{feed.name}_exceptions"] = feed_exceptions(feed, lines_sql(feed))
+        out[f"{feed.name}_audit"] = feed_ctes(feed, lines_sql(feed)) + report_ctes(_types(feed.name)) + tabular()
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..layouts import FEEDS, Feed
+from ..layouts.reports import RESULT_LABELS
 from ..operators import audit
 from ..operators.exceptions import exception_rows, split_failure_text
 from ..operators.lookups import checked_lookup
@@ -22,7 +23,7 @@ from ..sources.lines import read_lines, readable, table_lines, unreadable
 from . import job
 from .sample_lines import lines_sql
 from .samples import LEDGER, ORDER_CODES, ORDER_LINES_SQL, ledger_lines_sql
-from .transform import extract, transform, typed
+from .transform import extract, outcomes, transform, typed
 
 LEDGER_TYPES = ("ROW_TYPE_NO|ROW_TYPE|FIELDS_IN|FIELDS_OUT|TRANSFORMS\n"
                 "1|ACCOUNT|9|10|2\n2|HOLDER|9|10|2\n3|BALANCE|9|10|2\n4|<Unrecognized>|0|0|0\n")
@@ -53,10 +54,7 @@ def order_code_lines(spark, sf_dir) -> DataFrame:
 
 
 def feed_lines(spark, sf_dir, feed: Feed, table="lineitem") -> DataFrame:
-    """Lines of a real feed as a written table, as a job would find them."""
-    folder = scratch_folder(spark, f"{feed.name}-lines")
-    _sql(spark, sf_dir, _bound(lines_sql(feed, table), table), table).write.parquet(folder)
-    return spark.read.schema("_ROW_ID BIGINT, value STRING").parquet(folder)
+    return _sql(spark, sf_dir, _bound(lines_sql(feed, table), table), table)
 
 
 def feed_rows(spark, sf_dir, feed: Feed) -> DataFrame:
@@ -189,16 +187,14 @@ def fw_source_order(spark, sf_dir):
 
 def sink_rejected(spark, sf_dir):
     folder = scratch_folder(spark, "rejected")
-    writers.write_rejected(rejected(ledger_rows(spark, sf_dir, "orders")), folder, "overwrite",
-                           keep_blanks=True)
+    writers.write_rejected(rejected(ledger_rows(spark, sf_dir, "orders")), folder, "overwrite")
     return spark.read.schema("_ROW_ID BIGINT, _ROW_TYPE STRING, _ROW_STATUS INT, _ROW_DATA STRING") \
         .option("header", True).option("sep", "|").option("lineSep", "\r\n").csv(folder)
 
 
 def sink_exceptions(spark, sf_dir):
     folder = scratch_folder(spark, "exceptions")
-    writers.write_exceptions(exception_rows(ledger_rows(spark, sf_dir, "orders")), folder, "overwrite",
-                             keep_blanks=True)
+    writers.write_exceptions(exception_rows(ledger_rows(spark, sf_dir, "orders")), folder, "overwrite")
     return spark.read.schema("_ROW_ID BIGINT, _ROW_TYPE STRING, _EXCEPTION_TYPE STRING, "
                              "_EXCEPTION_SOURCE STRING, _EXCEPTION_DESC STRING") \
         .option("header", True).option("sep", "|").option("lineSep", "\r\n").csv(folder)
@@ -241,6 +237,89 @@ def sink_job(spark, sf_dir):
             .unionByName(count("audit_tab", True)))
 
 
+def _two_files(spark, sf_dir) -> str:
+    """Run the ledger feed over two files of very unequal size; the folder of its outputs."""
+    source, out = scratch_folder(spark, "source"), scratch_folder(spark, "job")
+    lines = ledger_lines(spark, sf_dir, "orders").withColumn(
+        "part", F.when(F.col("_ROW_ID") % 50 == 0, "a").otherwise("b"))
+    lines.repartitionByRange("part", "_ROW_ID").sortWithinPartitions("part", "_ROW_ID") \
+        .select("value", "part").write.partitionBy("part").text(source)
+    job.run_feed(spark, LEDGER, [f"{source}/part=a", f"{source}/part=b"], out, file_name=FILE_NAME,
+                 inputs=job.Inputs(file_metadata=_metadata(spark)))
+    return out
+
+
+def _csv(spark, folder, schema, sep="|"):
+    return spark.read.schema(schema).option("header", True).option("sep", sep).option("lineSep", "\r\n").csv(folder)
+
+
+def job_target_order(spark, sf_dir):
+    """The target of a run, line by line over all its files: file after file, in source order."""
+    return line_numbers(read_lines(spark, f"{_two_files(spark, sf_dir)}/target", origin=True)).select(
+        F.col("_LINE_NO").alias("line_no"), "value")
+
+
+def job_rejected(spark, sf_dir):
+    rows = _csv(spark, f"{_two_files(spark, sf_dir)}/rejected",
+                "_ROW_ID BIGINT, _ROW_TYPE STRING, _ROW_STATUS INT, _ROW_DATA STRING")
+    return rows.select("_ROW_TYPE", "_ROW_STATUS", "_ROW_DATA")
+
+
+def job_exceptions(spark, sf_dir):
+    return _csv(spark, f"{_two_files(spark, sf_dir)}/exceptions",
+                "_ROW_ID BIGINT, _ROW_TYPE STRING, _EXCEPTION_TYPE STRING, _EXCEPTION_SOURCE STRING, "
+                "_EXCEPTION_DESC STRING").drop("_ROW_ID")
+
+
+def _table_run(spark, sf_dir) -> str:
+    """Run the ledger feed over a table in which some rows have no line."""
+    out = scratch_folder(spark, "job")
+    lines = ledger_lines(spark, sf_dir).withColumn("value", F.when(F.col("_ROW_ID") % 23 != 0, F.col("value")))
+    job.run_feed(spark, LEDGER, lines, out, file_name=FILE_NAME, inputs=job.Inputs(file_metadata=_metadata(spark)))
+    return out
+
+
+def job_audit(spark, sf_dir):
+    return _csv(spark, f"{_table_run(spark, sf_dir)}/audit",
+                "REPORT_LINE_NO BIGINT, FILE_NAME STRING, ROW_TYPE STRING, REPORT_LINE_LABEL STRING, "
+                "REPORT_RESULT_LABEL STRING, REPORT_RESULT_VALUE BIGINT", "\t")
+
+
+def job_audit_tab(spark, sf_dir):
+    names_ = [c.lower().replace(" ", "_") for c in RESULT_LABELS]
+    return _csv(spark, f"{_table_run(spark, sf_dir)}/audit_tab", "report_line_no INT, file_name STRING, row_type STRING, "
+                + ", ".join(f"{c} BIGINT" for c in names_), "\t")
+
+
+def job_quarantine(spark, sf_dir):
+    """What a run quarantines, and the identity rows in = out + rejected + quarantined."""
+    out = _table_run(spark, sf_dir)
+    return spark.read.schema("_ROW_ID BIGINT, value STRING").json(f"{out}/error")
+
+
+def fw_lookup_duplicates(spark, sf_dir):
+    """A given lookup with repeated keys: one row per line all the same, the greatest value counts."""
+    tune(spark)
+    twice = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("k"),
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"))
+    lookup, _ = checked_lookup(tables.unique_lookup(twice))
+    rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup})
+    return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")
+
+
+def fw_lookup_large(spark, sf_dir):
+    """A lookup beyond the bound of a broadcast: an ordinary join; lines without a key are spread."""
+    tune(spark)
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("k"),
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"))
+    lookup, small = checked_lookup(tables.unique_lookup(nation), max_rows=5)
+    assert not small
+    rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup.hint("merge")})
+    return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")
+
+
 def source_table_lines(spark, sf_dir):
     """Lines from a catalog table."""
     ledger_lines(spark, sf_dir, "orders").createOrReplaceTempView("feedloom_order_lines")
@@ -306,10 +385,10 @@ def audit_report_tabular(spark, sf_dir):
     return tab.select(*(F.col(c).alias(c.lower().replace(" ", "_")) for c in tab.columns))
 
 
-def position_balance_audit(spark, sf_dir):
-    feed = FEEDS["position_balance"]
+def feed_audit(spark, sf_dir, feed: Feed) -> DataFrame:
+    """The tabular audit of a real feed; nothing but types and statuses is worked out."""
     tab = audit.tabular_report(job.audit_report(
-        feed_rows(spark, sf_dir, feed), job.Inputs().filled(spark, feed), FILE_NAME))
+        outcomes(feed_lines(spark, sf_dir, feed), feed), job.Inputs().filled(spark, feed), FILE_NAME))
     return tab.select(*(F.col(c).alias(c.lower().replace(" ", "_")) for c in tab.columns))
 
 
@@ -367,7 +446,9 @@ SINGLE = (fw_extract, fw_typed_structs, fw_length_reject, fw_classify, fw_xref_j
           fw_failure_text, fw_split_failure_text, fw_roundtrip_sorted, fw_source_order, sink_rejected,
           sink_exceptions, sink_diagnostic, sink_quarantine, sink_job, source_table_lines,
           audit_counts, audit_totals, audit_weighted_unpivot, audit_exception_categories, audit_values,
-          audit_report_long, audit_report_tabular, position_balance_audit, type_split_trim,
+          audit_report_long, audit_report_tabular, type_split_trim,
+          job_target_order, job_rejected, job_exceptions, job_audit, job_audit_tab, job_quarantine,
+          fw_lookup_duplicates, fw_lookup_large,
           type_split_cells, file_manifest, destination_names)
 
 
@@ -376,4 +457,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for feed in FEEDS.values():
         out[f"{feed.name}_transform"] = _feed_query(feed, _all_columns)
         out[f"{feed.name}_exceptions"] = _feed_query(feed, exception_rows)
+        out[f"{feed.name}_audit"] = lambda spark, sf_dir, feed=feed: feed_audit(spark, sf_dir, feed)
     return out

@@ -57,10 +57,10 @@ def _segments(feed: Feed, t: RecordType) -> dict[int, tuple[int, str]]:
         else:
             put(x.start, x.start, "'A'")
     blanks = [f for f in t.fields if f.rule == BLANK and not f.hidden]
-    for f in blanks:
-        # the last character of the last filler is dirty in some rows
-        if f is blanks[-1] and f.width > 1:
-            put(f.end, f.end, f"CASE WHEN k % {DIRTY_FILLER} = 0 THEN 'x' ELSE ' ' END")
+    for turn, f in enumerate(blanks):
+        # the last character of a filler is dirty in some rows, of every filler in its turn
+        put(f.end, f.end, f"CASE WHEN k % {DIRTY_FILLER} = 0 AND CAST(floor(k / {DIRTY_FILLER * len(feed.types)}) AS BIGINT)"
+                          f" % {len(blanks)} = {turn} THEN 'x' ELSE ' ' END")
         for p in range(f.start, f.end + 1):
             put(p, p, "' '")
     stride = 1

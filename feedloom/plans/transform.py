@@ -12,7 +12,7 @@ from ..operators.classify import (NO_TYPE, WRONG_LENGTH, discriminators, type_na
                                   type_number)
 from ..operators.lookups import attach_lookup, lookup_key
 from ..operators.render import rendered
-from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, Rule, failures, field_rules, length_rule,
+from ..operators.rules import (ACCEPTED, NO_EXCEPTIONS, Rule, failure_types, failures, field_rules, length_rule,
                                row_status, structure_rule)
 from ..operators.translate import field_value
 from ..sources.tables import constant_lookup
@@ -91,6 +91,15 @@ def verdicts(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None
         f"CASE WHEN _ROW_STATUS <> {ACCEPTED} THEN {LINE} END AS _ROW_DATA")
 
 
+def outcomes(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Type, status and the types of the failures: all that the reconciliation counts."""
+    none = "cast(array() AS array<string>)"
+    failed = by_case("_TYPE_NO", [(n, failure_types(r)) for n, r in _rules(feed).items()], none)
+    return checked(lines, feed, lookups).selectExpr(
+        f"{type_name('_TYPE_NO', feed)} AS _ROW_TYPE", "_ROW_STATUS",
+        f"CASE WHEN _ROW_STATUS = {ACCEPTED} THEN {none} ELSE {failed} END AS _FAILURES")
+
+
 def extract(lines: DataFrame, feed: Feed, record_type: str,
             lookups: dict[str, DataFrame] | None = None, with_status: bool = False) -> DataFrame:
     """The lines of one record type with every field as a column, translated.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.exceptions import EXCEPTION_COLUMNS
+from ..sources.lines import ORIGIN
 
 CRLF = "\r\n"
 REJECTED_COLUMNS = ("_ROW_ID", "_ROW_TYPE", "_ROW_STATUS", "_ROW_DATA")
@@ -23,7 +24,24 @@ def write_target(accepted: DataFrame, path: str, mode: str = "append",
     rows.select("_ROW_DATA").write.mode(mode).option("lineSep", CRLF).text(path)
 
 
-def write_pipe_csv(df: DataFrame, path: str, mode: str = "append", keep_blanks: bool = False) -> None:
+def write_target_by_file(accepted: DataFrame, path: str, files: list[str], mode: str = "append",
+                         moved: bool = False) -> None:
+    """Accepted records of text files, one folder ``file=<name>`` per source file, in source order.
+
+    The tasks that read a file ascend with it, so nothing is shuffled: each task sorts what it has by
+    file, block and row id. Only rows that were ``moved`` by a join are range-partitioned first. Files
+    of one name in several folders are told apart by their whole path.
+    """
+    base = {f.rsplit("/", 1)[-1] for f in files}
+    name = F.regexp_extract("_FILE", "([^/]+)$", 1) if len(base) == len(files) else F.regexp_replace("_FILE", "[/:]+", "_")
+    rows = accepted.select("_ROW_DATA", name.alias("file"), *ORIGIN, "_ROW_ID")
+    order = ("file", *ORIGIN, "_ROW_ID")
+    rows = (rows.repartitionByRange(*order) if moved else rows).sortWithinPartitions(*order)
+    rows.select("_ROW_DATA", "file").write.mode(mode).option("lineSep", CRLF).partitionBy("file").text(path)
+
+
+def write_pipe_csv(df: DataFrame, path: str, mode: str = "append", keep_blanks: bool = True) -> None:
+    """A fixed-width line without its blanks could not be processed again, so blanks are kept."""
     writer = df.write.mode(mode).option("header", True).option("sep", "|").option("lineSep", CRLF)
     if keep_blanks:
         writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -31,22 +49,21 @@ def write_pipe_csv(df: DataFrame, path: str, mode: str = "append", keep_blanks:
 
 
 def write_rejected(rejected: DataFrame, path: str, mode: str = "append",
-                   keep_blanks: bool = False) -> None:
-    """Rejected lines ordered by type. The row id breaks ties and spreads a type over partitions."""
-    write_pipe_csv(rejected.select(*REJECTED_COLUMNS).orderBy("_ROW_TYPE", "_ROW_ID"), path, mode,
-                   keep_blanks)
+                   order: tuple[str, ...] = ("_ROW_ID",)) -> None:
+    """Rejected lines ordered by type, then by ``order``, which spreads a type over partitions."""
+    write_pipe_csv(rejected.orderBy("_ROW_TYPE", *order).select(*REJECTED_COLUMNS), path, mode)
 
 
 def write_exceptions(exceptions: DataFrame, path: str, mode: str = "append",
-                     order: tuple[str, ...] | None = None, keep_blanks: bool = False) -> None:
+                     order: tuple[str, ...] | None = None) -> None:
     rows = exceptions.orderBy(*order) if order else exceptions
-    write_pipe_csv(rows.select(*EXCEPTION_COLUMNS), path, mode, keep_blanks)
+    write_pipe_csv(rows.select(*EXCEPTION_COLUMNS), path, mode)
 
 
 def write_diagnostic(accepted: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Accepted records with row id and type, blanks kept, sorted within each output file."""
     rows = accepted.select("_ROW_ID", "_ROW_TYPE", "_ROW_DATA").sortWithinPartitions("_ROW_ID")
-    write_pipe_csv(rows, path, mode, keep_blanks=True)
+    write_pipe_csv(rows, path, mode)
 
 
 def write_report(report: DataFrame, path: str, mode: str = "append") -> None:

@@ -45,19 +45,28 @@ def constant_lookup(spark: SparkSession, values: dict[str, str | None]) -> DataF
     return local_table(spark, list(values.items()), f"{KEY} STRING, {VALUE} STRING")
 
 
-def unique_lookup(table: DataFrame) -> DataFrame:
-    """Key and value of a two-column table; the last of several rows with one key wins."""
+def unique_lookup(table: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """Key and value of a two-column table, one row per key.
+
+    Of several rows with one key the last in ``order`` counts; a table without an order gives the
+    greatest value, so that the result does not depend on how it is read. Null keys match nothing.
+    """
     key, value = table.columns[:2]
-    return (table.select(F.col(key).cast("string").alias(KEY), F.col(value).cast("string").alias(VALUE),
-                         F.monotonically_increasing_id().alias("_AT"))
+    last = F.struct(*(F.col(c) for c in order), F.col(value).cast("string").alias("_LAST_VALUE"))
+    return (table.select(F.col(key).cast("string").alias(KEY), last.alias("_LAST"))
             .where(F.col(KEY).isNotNull())
-            .groupBy(KEY).agg(F.max_by(F.struct(VALUE), "_AT").alias("_LAST"))
-            .select(KEY, F.col("_LAST").getField(VALUE).alias(VALUE)))
+            .groupBy(KEY).agg(F.max("_LAST").getField("_LAST_VALUE").alias(VALUE)))
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Two-column pipe-delimited lookup file; an empty value is null and counts as a miss."""
-    return unique_lookup(read_pipe_csv(spark, path, "_FILE_KEY STRING, _FILE_VALUE STRING"))
+    """Two-column pipe-delimited lookup file; an empty value is null and counts as a miss.
+
+    Of equal keys the last line counts, of several files that of the last file by name.
+    """
+    rows = read_pipe_csv(spark, path, "_FILE_KEY STRING, _FILE_VALUE STRING").select(
+        "*", F.col("_metadata.file_path").alias("_AT_FILE"), F.col("_metadata.file_block_start").alias("_AT_BLOCK"),
+        F.monotonically_increasing_id().alias("_AT_ROW"))
+    return unique_lookup(rows, ("_AT_FILE", "_AT_BLOCK", "_AT_ROW"))
 
 
 def read_table_lookup(spark: SparkSession, name: str) -> DataFrame:
