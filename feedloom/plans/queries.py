@@ -298,12 +298,12 @@ def job_quarantine(spark, sf_dir):
 
 
 def fw_lookup_duplicates(spark, sf_dir):
-    """A given lookup with repeated keys: one row per line all the same, the greatest value counts."""
+    """A given lookup with repeated keys: one row per line all the same, the last in order counts."""
     tune(spark)
     twice = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("k"),
-        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"))
-    lookup, _ = checked_lookup(tables.unique_lookup(twice))
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"), "n_nationkey")
+    lookup, _ = checked_lookup(tables.unique_lookup(twice, ("n_nationkey",)))
     rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup})
     return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")
 
@@ -313,8 +313,8 @@ def fw_lookup_large(spark, sf_dir):
     tune(spark)
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.expr("substr('1234567890X', n_nationkey % 11 + 1, 1)").alias("k"),
-        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"))
-    lookup, small = checked_lookup(tables.unique_lookup(nation), max_rows=5)
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("v"), "n_nationkey")
+    lookup, small = checked_lookup(tables.unique_lookup(nation, ("n_nationkey",)), max_rows=5)
     assert not small
     rows = transform(ledger_lines(spark, sf_dir), LEDGER, {"account_type": lookup.hint("merge")})
     return rows.select("_ROW_ID", "_ROW_STATUS", "_ROW_DATA")

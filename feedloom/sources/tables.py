@@ -46,13 +46,14 @@ def constant_lookup(spark: SparkSession, values: dict[str, str | None]) -> DataF
 
 
 def unique_lookup(table: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-    """Key and value of a two-column table, one row per key.
+    """Key and value of a two-column table, one row per key; null keys match nothing.
 
-    Of several rows with one key the last in ``order`` counts; a table without an order gives the
-    greatest value, so that the result does not depend on how it is read. Null keys match nothing.
+    Of several rows with one key the last in ``order`` counts, without an order the last as read:
+    give an order for tables that are no plain scan.
     """
     key, value = table.columns[:2]
-    last = F.struct(*(F.col(c) for c in order), F.col(value).cast("string").alias("_LAST_VALUE"))
+    place = [F.col(c) for c in order] or [F.monotonically_increasing_id()]
+    last = F.struct(*(c.alias(f"_AT_{i}") for i, c in enumerate(place)), F.col(value).cast("string").alias("_LAST_VALUE"))
     return (table.select(F.col(key).cast("string").alias(KEY), last.alias("_LAST"))
             .where(F.col(KEY).isNotNull())
             .groupBy(KEY).agg(F.max("_LAST").getField("_LAST_VALUE").alias(VALUE)))

@@ -84,6 +84,75 @@ def test_a_second_run_appends(spark, tmp_path):
     assert len("".join(raw(tmp_path / "out" / "target")).split("\r\n")) == 2
 
 
+def test_a_small_file_before_a_large_one(spark, tmp_path):
+    good = next(x for x in by_hand.fixture(FEEDS["beneficiary"])
+                if by_hand.apply(x, FEEDS["beneficiary"])[1] == 0)
+    source = tmp_path / "in"
+    source.mkdir()
+    small, large = [good[:180] + f"{i:06d}" + good[186:] for i in range(5)], [
+        good[:180] + f"{i:06d}" + good[186:] for i in range(5, 20_000)]
+    (source / "a.txt").write_text("\n".join(small) + "\n", encoding="utf-8")
+    (source / "b.txt").write_text("\n".join(large) + "\n", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    run_feed(spark, "beneficiary", str(source), str(tmp_path / "out"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [by_hand.apply(x, FEEDS["beneficiary"])[3] for x in small + large]
+    got = line_numbers(read_lines(spark, str(tmp_path / "out" / "target"), origin=True)).orderBy("_LINE_NO")
+    assert [r.value for r in got.collect()] == [w for w, x in zip(want, small + large)
+                                                 if by_hand.apply(x, FEEDS["beneficiary"])[1] == 0]
+    assert sorted(p.name for p in (tmp_path / "out" / "target").iterdir() if p.is_dir()) == ["file=a.txt", "file=b.txt"]
+
+
+def test_rejected_lines_are_untouched(memo):
+    lines, out, want = memo
+    rows = [r.split("|", 3)[3] for f in raw(out / "rejected") for r in f.split("\r\n")[1:] if r]
+    kept = {r[1:-1].replace('\\"', '"') if r.startswith('"') else r for r in rows}
+    assert kept == {x for x, w in zip(lines, want) if w[1] != 0}
+
+
+def test_rows_in_are_out_rejected_and_missing(spark, tmp_path):
+    lines = by_hand.fixture(FEEDS["beneficiary"])
+    rows = [(i, x) for i, x in enumerate(lines)] + [(1000, None), (1001, None)]
+    run_feed(spark, "beneficiary", spark.createDataFrame(rows, "_ROW_ID BIGINT, value STRING"), str(tmp_path / "out"))
+    head, total = (r.split("\t") for r in raw(tmp_path / "out" / "audit_tab")[0].split("\r\n")[:2])
+    total = dict(zip(head, total))
+    assert int(total["Rows In"]) == len(rows) == int(total["Rows Out"]) + int(total["Rows Rejected"]) + 2
+
+
+def test_part_numbers_beyond_five_digits(spark, tmp_path):
+    for n in (99_999, 100_000, 7):
+        (tmp_path / f"part-{n:05d}-x.txt").write_text(f"{n}\n", encoding="utf-8")
+    got = line_numbers(read_lines(spark, str(tmp_path), origin=True)).orderBy("_LINE_NO").collect()
+    assert [r.value for r in got] == ["7", "99999", "100000"]
+
+
+def test_line_numbers_move_no_line(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("x\n" * 100, encoding="utf-8")
+    plan = line_numbers(read_lines(spark, str(tmp_path), origin=True))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_no_description_is_built_for_a_tally(spark):
+    from feedloom.operators.audit import tally
+    from feedloom.plans.transform import outcomes
+    plan = tally(outcomes(as_lines(spark, ["x"]), FEEDS["position_balance"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filler containing data" not in plan and "No lookup value" not in plan
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from feedloom import session
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            getConf = staticmethod(lambda: Fake.conf)
+    with pytest.raises(ValueError):
+        session.scratch_folder(Fake, "x")
+
+
 def test_empty_outputs_can_be_skipped(spark, tmp_path):
     source = tmp_path / "s.txt"
     source.write_text(by_hand.fixture(FEEDS["beneficiary"])[3] + "\n", encoding="utf-8")
