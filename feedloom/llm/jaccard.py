@@ -35,7 +35,7 @@ from feedloom.llm.signature_trees import linked
 
 MOST_IN_BUCKET = 20_000
 MOST_TOKENS = 3_000_000
-WIDTHS = [512 << (2 * k) for k in range(5)]  # bits of a signature
+WIDTHS = [512 << k for k in range(9)]  # bits of a signature
 FULL = 1.25  # tokens per bit up to which a width is used
 MATRIX_BYTES = 1 << 25
 _BATCH = 40_000
@@ -229,9 +229,18 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: st
     classes = stored(spark, classes, "classes")
 
     named = classes.filter("class_id is not null")
-    tokens = named.select("class_id", F.explode("prefix").alias("token"))
-    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    live = _grid(tokens.join(met, "token"), F.ceil(F.col("df") / MOST_IN_BUCKET), "token")
+    # Sizes fall into bands of the ratio that the similarity allows: partners are in one band or in
+    # neighbouring ones. A bit per band (of 64 in a circle) tells which postings of a token have any.
+    band = F.pmod(F.floor(F.log("n") / float(np.log(100 / percent))), F.lit(64)).cast("int")
+    tokens = named.select("class_id", F.explode("prefix").alias("token"), band.alias("band"))
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)))
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.bit_or(bit(F.col("band"))).alias("bands"))
+    crowded = F.col("df") > F.bit_count("bands")
+    turned = F.call_function("shiftleft", F.col("bands"), F.lit(1)).bitwiseOR(F.shiftrightunsigned("bands", 63))
+    met = met.filter((F.col("df") > 1) & (crowded | (F.col("bands").bitwiseAND(turned) != 0)))
+    beside = bit(F.col("band") - 1).bitwiseOR(bit(F.col("band") + 1)).bitwiseAND(F.col("bands")) != 0
+    paired = tokens.join(met, "token").filter(crowded | beside)
+    live = _grid(paired.select("class_id", "token", "df"), F.ceil(F.col("df") / MOST_IN_BUCKET), "token")
     signed = live.select("class_id", "bucket").join(
         named.select("class_id", "n", "signatures", F.get("prefix", F.lit(0)).alias("first")), "class_id") \
         .select("class_id", "bucket", "n", "first", F.explode("signatures").alias("s")) \
