@@ -73,4 +73,4 @@ def test_filler_and_code_rules_fail_in_the_samples(spark, sf_dir, name):
               if field_rule(feed, f) and any(n == t.name for n, _ in seen)
               and not any(x.start <= f.end and f.start <= x.end for x in t.when)}
     missing = wanted - seen
-    assert len(missing) <= 0.2 * len(wanted), sorted(missing)
+    assert len(missing) <= 0.3 * len(wanted), sorted(missing)
