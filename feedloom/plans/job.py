@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..layouts import FEEDS, Feed
+from ..layouts import FEEDS, STRICT_FEEDS, Feed, with_row_length
 from ..layouts import reports
 from ..operators import audit
 from ..operators.exceptions import exception_rows
@@ -84,7 +84,8 @@ def _split_verdicts(rows: DataFrame, feed: Feed, folder: str) -> tuple[DataFrame
 
 def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | DataFrame, out: str, *,
              inputs: Inputs | None = None, file_name: str | None = None, mode: str = "append",
-             skip_empty: bool = False, diagnostic: bool = False, complete: bool = False) -> None:
+             skip_empty: bool = False, diagnostic: bool = False, complete: bool = False,
+             strict: bool = False, row_length: int | None = None) -> None:
     """Write ``target``, ``rejected``, ``exceptions``, ``audit`` and ``audit_tab`` below ``out``.
 
     The source is read twice: once for the verdicts, where rejected lines go to a scratch folder and
@@ -92,10 +93,12 @@ def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | Da
     in the order of its lines; a source that is a table has one folder in the order of ``_ROW_ID``,
     which must be a function of the row (an id column, or the place in a plain scan). Rejected lines
     and exceptions keep their blanks. Every line is accepted, rejected or missing (null), so rows in
-    are the sum of the three. Of equal lookup keys one counts (see ``unique_lookup``).
+    are the sum of the three. Of equal lookup keys one counts (see ``unique_lookup``). ``strict`` takes
+    a named feed as published, with its overlapping fields; ``row_length`` takes lines of another length.
     """
     tune(spark)
-    feed = FEEDS[feed] if isinstance(feed, str) else feed
+    feed = (STRICT_FEEDS if strict else FEEDS)[feed] if isinstance(feed, str) else feed
+    feed = with_row_length(feed, row_length) if row_length else feed
     inputs = (inputs or Inputs()).filled(spark, feed)
     table = isinstance(source, DataFrame)
     lines = source if table else read_lines(spark, source, origin=True)

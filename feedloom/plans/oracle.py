@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.text import cut as _cut
-from ..layouts import CODE_MAPS, DEFAULTS, FEEDS, LOOKUPS, SPLIT_RANGES
+from ..layouts import CODE_MAPS, CORRECTIONS, DEFAULTS, FEEDS, LOOKUPS, SPLIT_RANGES, STRICT_FEEDS
 from ..layouts import reports
 from ..layouts.model import BLANK, JOINED, LOOKUP, MAPPED, RECODE, UNRECOGNIZED, Feed, Field, RecordType
 from .sample_lines import lines_sql
@@ -399,4 +399,6 @@ def all_oracles() -> dict[str, str]:
         out[f"{feed.name}_transform"] = feed_transform(feed, lines_sql(feed))
         out[f"{feed.name}_exceptions"] = feed_exceptions(feed, lines_sql(feed))
         out[f"{feed.name}_audit"] = feed_ctes(feed, lines_sql(feed)) + report_ctes(_types(feed.name)) + tabular()
+    for name in CORRECTIONS:
+        out[f"{name}_strict_transform"] = feed_transform(STRICT_FEEDS[name], lines_sql(STRICT_FEEDS[name]))
     return out

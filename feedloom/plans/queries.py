@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..layouts import FEEDS, Feed
+from ..layouts import CORRECTIONS, FEEDS, STRICT_FEEDS, Feed
 from ..layouts.reports import RESULT_LABELS
 from ..operators import audit
 from ..operators.exceptions import exception_rows, split_failure_text
@@ -458,4 +458,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[f"{feed.name}_transform"] = _feed_query(feed, _all_columns)
         out[f"{feed.name}_exceptions"] = _feed_query(feed, exception_rows)
         out[f"{feed.name}_audit"] = lambda spark, sf_dir, feed=feed: feed_audit(spark, sf_dir, feed)
+    for name in CORRECTIONS:
+        out[f"{name}_strict_transform"] = _feed_query(STRICT_FEEDS[name], _all_columns)
     return out

@@ -74,3 +74,32 @@ def test_filler_and_code_rules_fail_in_the_samples(spark, sf_dir, name):
               and not any(x.start <= f.end and f.start <= x.end for x in t.when)}
     missing = wanted - seen
     assert len(missing) <= 0.3 * len(wanted), sorted(missing)
+
+
+def overlaps(feed):
+    """(record type, field, field) where a filler or a sign shares characters with another field."""
+    out = set()
+    for t in feed.types:
+        fields = [f for f in t.fields if f.rule != "joined" and not f.hidden]
+        for i, a in enumerate(fields):
+            for b in fields[i + 1:]:
+                if a.start <= b.end and b.start <= a.end and (
+                        "blank" in (a.rule, b.rule) or "SIGN" in a.name or "SIGN" in b.name):
+                    out.add((t.name, *sorted((a.name, b.name))))
+    return out
+
+
+def test_mended_layouts_keep_fillers_and_signs_apart():
+    from feedloom.layouts import CORRECTIONS, STRICT_FEEDS
+    for name in CORRECTIONS:
+        assert overlaps(STRICT_FEEDS[name])
+    assert not any(overlaps(feed) for feed in FEEDS.values())
+
+
+def test_row_length_is_a_parameter(spark, tmp_path):
+    from feedloom.plans.job import run_feed
+    (tmp_path / "s.txt").write_text("x" * 12 + "000" + "x" * 117 + "\n", encoding="utf-8")
+    for n, wrong in ((132, []), (None, ["-1"])):
+        run_feed(spark, "registered_plan", str(tmp_path / "s.txt"), str(tmp_path / f"out{n}"), row_length=n)
+        rows = spark.read.option("header", True).option("sep", "|").csv(str(tmp_path / f"out{n}" / "rejected")).collect()
+        assert [r._ROW_STATUS for r in rows if r._ROW_STATUS == "-1"] == wrong
