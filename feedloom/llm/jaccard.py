@@ -44,7 +44,7 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 
 @functools.lru_cache(maxsize=1)
 def _word_hashes() -> Pieces:
-    return Pieces(xxhash.xxh3_64_intdigest)
+    return Pieces(xxhash.xxh3_64_intdigest, 150_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ _CUT = re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
 class Pieces(dict):
     """Results by piece; a miss calls ``encode(piece)``. Emptied when full, which changes no result."""
 
-    def __init__(self, encode, most: int = 700_000):
+    def __init__(self, encode, most: int = 350_000):
         super().__init__()
         self.encode, self.most = encode, most
 

@@ -30,6 +30,7 @@ DIMENSIONS = 1 << 16
 STUTTER = 0  # feature of repeated words; hashed features share the others
 MOST_TRAINING = 3_000
 CUTOFF = 0.5
+KNOWN_WORDS = 100_000  # words a task remembers
 ABSTAIN, BAD, GOOD = 0, 1, 2
 _SYMBOL = re.compile(r"[#*$%&|<>{}\\^~]")
 _SHOUT = re.compile(r"[!?]{2}")
@@ -170,7 +171,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 12, ra
 
 
 def _voted(batches):
-    marks = Pieces(_marks)
+    marks = Pieces(_marks, KNOWN_WORDS)
     for batch in batches:
         patterns = [vote_pattern(text.as_py(), marks) for text in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(patterns, pa.int32())],
@@ -178,15 +179,16 @@ def _voted(batches):
 
 
 def _vectors(batches):
-    known = Pieces(features)
+    known = Pieces(features, KNOWN_WORDS)
     for batch in batches:
         indices, values = [], []
         for text in batch.column("text"):
             words = (text.as_py() or "").split()
             index, count = np.unique(np.array([known[word] for word in words], np.int64).reshape(-1), return_counts=True)
             indices.append(np.r_[index, STUTTER]), values.append(np.r_[count / max(1, len(words)), repeats(words)])
-        yield pa.RecordBatch.from_arrays([batch.column("pattern"), pa.array(indices, pa.list_(pa.int64())),
-                                          pa.array(values, pa.list_(pa.float64()))], names=["pattern", "i", "v"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("pattern"), pa.array(indices, pa.list_(pa.int32())),
+             pa.array(values, pa.list_(pa.float32()))], names=["doc_id", "pattern", "i", "v"])
 
 
 def fit(docs: DataFrame) -> dict:
@@ -206,17 +208,20 @@ def fit(docs: DataFrame) -> dict:
     place = F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     kept = rows.filter(place < max(share)).mapInArrow(_voted, "doc_id bigint, text string, pattern int") \
         .filter(place < F.when(F.col("pattern").isin(bad), share[0]).otherwise(share[1]))
-    sample = kept.mapInArrow(_vectors, "pattern int, i array<bigint>, v array<double>").collect()
-    data = sorted(((tuple(r.i), tuple(r.v), r.pattern) for r in sample))
+    sample = kept.mapInArrow(_vectors, "doc_id bigint, pattern int, i array<int>, v array<float>")
+    # As columns, a few bytes per feature of a bounded number of documents; ordered, so that reruns agree.
+    columns = sample.orderBy("doc_id", "pattern", "i", "v").toArrow()
+    data = [(i.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(float), posterior[p.as_py()])
+            for p, i, v in zip(columns.column("pattern"), columns.column("i"), columns.column("v"))]
     if data:
-        model["weights"] = train([(np.array(i, np.int64), np.array(v), posterior[p]) for i, v, p in data])
+        model["weights"] = train(data)
     return model
 
 
 def _scorer(m: dict):
     """A function from a text to its score."""
-    w, marks = m["weights"], Pieces(_marks)
-    weigh = Pieces(lambda word: float(sum(w[i] for i in features(word))))
+    w, marks = m["weights"], Pieces(_marks, KNOWN_WORDS)
+    weigh = Pieces(lambda word: float(sum(w[i] for i in features(word))), KNOWN_WORDS)
 
     def of(text: str | None) -> float:
         words = (text or "").split()
