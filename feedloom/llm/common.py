@@ -22,10 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: lineage ends, lost executors cost nothing."""
+def stored(spark: SparkSession, df: DataFrame, purpose: str, slim: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends, lost executors cost nothing.
+
+    ``slim`` rows (ids and counts) are not compressed: a codec's buffers outside the heap, one set per
+    file and column, would weigh more than such rows.
+    """
     path = scratch_folder(spark, purpose)
-    df.write.parquet(path)
+    (df.write.option("compression", "uncompressed") if slim else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

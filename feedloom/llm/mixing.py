@@ -133,7 +133,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
                 F.struct(F.col("middle").alias("low"), F.col("high"), right.alias("counts"),
                          (F.col("total") - F.col("left")).alias("total"))))
         nodes = nodes.select(F.explode(children).alias("c"), "all").select("c.*", "all")
-        nodes = stored(quotas.sparkSession, nodes.repartition(8) if level == 5 else nodes, "split")
+        nodes = stored(quotas.sparkSession, nodes.repartition(8) if level == 5 else nodes, "split", slim=True)
         width, level = width * 2, level + 1
     return nodes.select(F.col("low").alias("shard"), F.posexplode("counts").alias("number", "draws"))
 
@@ -144,20 +144,19 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
     spark = docs.sparkSession
     key = F.xxhash64(F.lit(seed), *keep)
     sized = stored(spark, docs.select(*keep, F.col(source_column).alias("source"), key.alias("_key"),
-                                      F.size(words(F.col(text_column))).cast("long").alias("size")), "sizes")
+                                      F.size(words(F.col(text_column))).cast("long").alias("size")), "sizes", slim=True)
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
     full = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0).cast("int")
     numbered = source_targets(sized, weights).withColumn("blocks", n_blocks).withColumn("full", full) \
         .withColumn("rest", F.round(F.col("target") - F.col("full") * F.col("source_size")).cast("long")) \
         .withColumn("number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
-    sources = stored(spark, numbered, "sources")
+    sources = stored(spark, numbered.coalesce(1), "sources", slim=True)  # fits in one row, see above
     rows = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"]) \
         .withColumn("block", F.pmod("_key", "blocks"))
 
     # Words before each block of a source: sums of runs of blocks first, then within a run.
     sums = rows.groupBy("number", "block", "blocks", "full", "rest").agg(F.sum("size").alias("in_block")) \
         .withColumn("run", F.floor(F.col("block") / RUN))
-    sums = stored(spark, sums, "blocks")
     runs = Window.partitionBy("number").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     before_run = sums.groupBy("number", "run").agg(F.sum("in_block").alias("in_run")) \
         .withColumn("before_run", F.coalesce(F.sum("in_run").over(runs), F.lit(0)))
@@ -166,7 +165,7 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
         .join(before_run, ["number", "run"]).withColumn("before", F.col("within") + F.col("before_run"))
     placed = placed.select("number", "block", "blocks", "full", (F.col("before") < F.col("rest")).alias("started"), (
         F.col("rest") - F.col("before")).alias("room"), "in_block")
-    placed = stored(spark, placed, "placed")
+    placed = stored(spark, placed, "placed", slim=True)
 
     # Numbered draws: pass after pass; a pass begins at another block. Empty blocks are drawn as well.
     passes = F.sequence(F.lit(0), F.col("full") + F.col("started").cast("int") - 1)
@@ -181,7 +180,7 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
     draws = draws.withColumn("run", F.floor(F.col("draw") / RUN)).join(runs_of_draws, ["number", "run"]) \
         .withColumn("place", F.col("first") + F.row_number().over(ranks) - 1) \
         .select("number", "block", "place", (F.col("pass") < F.col("full")).alias("whole"))
-    draws = stored(spark, draws, "draws")
+    draws = stored(spark, draws, "draws", slim=True)
     counts = draws.groupBy("number").agg(F.count(F.lit(1)).alias("n"))
     counts = sources.select("number").join(counts, "number", "left")
     quotas = counts.agg(F.sort_array(F.collect_list(F.struct("number", F.coalesce("n", F.lit(0)).alias("n")))).alias("q")) \
