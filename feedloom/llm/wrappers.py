@@ -38,6 +38,7 @@ FURNITURE_WORDS = frozenset(
     "overlay share sharing social related recommended comment comments reply replies disqus respond newsletter "
     "subscribe signup login search widget pagination pager toolbar disclaimer".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
+STATES = frozenset("has no with without is hide show".split())  # "has-sidebar" names no sidebar
 ARTICLE_TAGS = frozenset(("article", "main"))
 ARTICLE_WORDS = frozenset("article post entry story content main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
@@ -65,10 +66,13 @@ def _label(name: str, attrs: str) -> tuple[str, bool]:
             elif key == "hidden" or key == "aria-hidden":
                 furniture |= key == "hidden" or value.lower() == "true"
             else:
-                marks = [word.lower() for word in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))]
-                furniture |= name not in ("body", "html") and not FURNITURE_WORDS.isdisjoint(marks)
+                names = [[w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", one))] for one in value.split()]
+                names = [words for words in names if words and words[0] not in STATES]
+                if name in ARTICLE_TAGS:
+                    names = [words[:1] for words in names[:1]]  # what else such an element may hold is no matter
+                furniture |= name not in ("body", "html") and any(not FURNITURE_WORDS.isdisjoint(words) for words in names)
                 if key == "class":
-                    found += marks
+                    found += [word for words in names for word in words]
     return ".".join([name, *dict.fromkeys(found)]), furniture
 
 

@@ -21,6 +21,8 @@ CASES = {
     "unclosed": ("<article><p><b>one<br><p>two</article><footer>no", "one\ntwo"),
     "line break": ("<article><p>one<br>two</p></article>", "one two"),
     "words are not ads": ("<article><div class='headline loading'>kept</div></article>", "kept"),
+    "states are no furniture": ("<div class='content has-sidebar no-ads'><p>kept</p></div>", "kept"),
+    "article with comments": ("<article class='post comments-open'><p>a</p><article class='comment-body'>b</article></article>", "a"),
     "no container": ("<div><p>some text that is long enough</p></div><nav>menu</nav>", "some text that is long enough"),
     "only text": ("just words", "just words"),
     "broken": ("<article><p title='a>b\">text<p x=\"1\">more", None),
