@@ -3,12 +3,13 @@
 1. ``quality_classifier``: documents that the weakly supervised scorer rejects go.
 2. ``quality_rules``: documents that fail the base or a certified cutoff of their language go.
 3. ``ngram_jaccard``: of each group of near copies (five-word shingles, similarity 0.8 or more) the
-   document with the smallest id stays; equal ids with equal texts become one row.
+   document with the smallest id stays, without ids one of them; equal ids with equal texts become one row.
 4. ``source_mix``: every document as often as the mix takes it, shard by shard in shuffled order.
 5. ``bpe_encode``: token ids of every row.
 
-A null text is an empty one: it has no words and is rejected by the first stage. Rows without an id are
-judged by their text like all others. Null sources and languages are values of their own. Extra columns
+A null text is an empty one: it has no words and is rejected by the first stage. Stages find rows again by
+a key of id and text (``row_key``), so rows without an id and different texts of one id are judged and
+mixed one by one. Null sources and languages are values of their own. Extra columns
 pass through all stages but the last. An empty table gives an empty result.
 """
 
@@ -16,15 +17,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from feedloom.llm import bpe, quality_model
-from feedloom.llm.common import stored, table
-from feedloom.llm.jaccard import jaccard_groups
+from feedloom.llm.common import row_key, stored, table
+from feedloom.llm.jaccard import first_rows
 from feedloom.llm.mixing import mix_plan, mixed
 from feedloom.llm.quality_rules import apply_rules
 
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
+KEY = "_row_key"
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -33,15 +34,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = apply_rules(docs, table(spark, sf_dir, "labels"))
-    kept = judged.filter("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    keyed = docs.withColumn(KEY, row_key("doc_id"))
+    judged = apply_rules(keyed, table(spark, sf_dir, "labels"), keep=[KEY])
+    return keyed.join(judged.filter("kept").select(KEY), KEY, "left_semi").select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_groups(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    keyed = docs.withColumn(KEY, row_key("doc_id"))
+    kept = first_rows(docs, SHINGLE_WORDS, SIMILARITY_PERCENT).withColumnRenamed("row", KEY)
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

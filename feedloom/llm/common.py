@@ -55,6 +55,13 @@ def words(text):
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES))
 
 
+def row_key(id_column: str, text_column: str = "text"):
+    """Key of a row by id and whole text: equal rows share it, rows without an id and different texts of one
+    id do not. A null text is an empty one. Never null."""
+    number = F.coalesce(F.concat(F.lit("i"), F.col(id_column).cast("string")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(number, F.lit("|"), F.md5(F.coalesce(F.col(text_column), F.lit(""))))))
+
+
 def let(value, body):
     """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -1,7 +1,8 @@
 """Exact n-gram Jaccard join with signature trees, and the groups of linked documents.
 
-1. Every text becomes the set of its distinct shingles (64-bit keys); equal sets form a class. From
-   here on one row per class moves, copies are never compared.
+1. Every text becomes the set of its distinct shingles (64-bit keys); equal sets form a class with a number
+   of its own and a head, the row of the smallest id. From here on one row per class moves, copies are never
+   compared.
 2. Keys are ordered so that long, thus rare, shingles come first. Two sets of the wanted similarity
    share a key among the first ``|set| - ceil(t |set|) + 1`` of either, so classes meet in the bucket
    of such a key. A bucket carries sizes and signatures, not sets: a bitmap of all tokens, of a width
@@ -10,13 +11,13 @@
    meets.
 3. In each bucket signature trees are traversed together (``signature_trees``); what could link gives
    candidate groups, usually a few documents.
-4. The texts of candidate classes are fetched, once each, and the trees are traversed again with exact
+4. The head texts of candidate classes are fetched by a key of id and text, once each, and the trees are traversed again with exact
    bitmaps over the tokens that two members share: these links are exact. Large candidate groups are
    dealt onto a grid as well. Groups of links are connected components in shuffles.
 
 Lower-casing is A-Z only. Fewer words than a shingle: the whole sequence is one; no words or null: an
 empty set, linked with nothing. Repeated rows and ids are returned as they are and fall into one class.
-A null id takes no part in naming a group. Extra columns are ignored. Very long texts are taken whole.
+A null id takes no part in naming a group; different texts of one id are compared each. Extra columns are ignored. Very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import components, python_ready, stored
+from feedloom.llm.common import components, python_ready, row_key, stored
 from feedloom.llm.pieces import Pieces
 from feedloom.llm.signature_trees import linked
 
@@ -104,10 +105,10 @@ def _sets(k: int, percent: int):
                 else:
                     prefixes.append(None), signatures.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                [batch.column("doc_id"), batch.column("row"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.struct(
                      [("width", pa.int32()), ("bits", pa.binary()), ("hidden", pa.int64())])))],
-                names=["doc_id", "digest", "n", "prefix", "signatures"])
+                names=["doc_id", "row", "digest", "n", "prefix", "signatures"])
     return run
 
 
@@ -212,23 +213,21 @@ def _grid(rows: DataFrame, cells, *keys: str) -> DataFrame:
         .drop("_cells", "_own", "_other")
 
 
-def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) per document: the smallest id that links lead to.
-
-    Links: ``100 * intersection >= percent * union`` of the sets of ``k``-word shingles.
-    """
+def _grouped(docs: DataFrame, k: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, row, n, head) per row: ``row`` is its key, ``head`` (nameless, doc_id, row) the first row of
+    its group, null for an empty set."""
     spark = docs.sparkSession
     python_ready(spark)
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"),
+                       row_key(id_column, text_column).alias("row"))
     sets = stored(spark, rows.mapInArrow(
-        _sets(k, percent), "doc_id bigint, digest binary, n bigint, prefix array<bigint>, "
+        _sets(k, percent), "doc_id bigint, row binary, digest binary, n bigint, prefix array<bigint>, "
         "signatures array<struct<width: int, bits: binary, hidden: bigint>>"), "sets")
     first = [F.first(c, ignorenulls=True).alias(c) for c in ("n", "prefix", "signatures")]
-    classes = sets.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), *first)
-    classes = stored(spark, classes, "classes")
+    head = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    classes = sets.filter("digest is not null").groupBy("digest").agg(F.min(head).alias("head"), *first)
+    named = stored(spark, classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
 
-    named = classes.filter("class_id is not null")
     # Sizes fall into bands of the ratio that the similarity allows: partners are in one band or in
     # neighbouring ones. A bit per band (of 64 in a circle) tells which postings of a token have any.
     band = F.pmod(F.floor(F.log("n") / float(np.log(100 / percent))), F.lit(64)).cast("int")
@@ -255,14 +254,34 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: st
     sizes = stored(spark, sizes, "candidates")
     totals = sizes.groupBy("component").agg(F.sum("n").alias("tokens"))
     placed = _grid(sizes.join(totals, "component"), F.ceil(F.col("tokens") / MOST_TOKENS), "component")
-    texts = rows.join(sizes.select(F.col("class_id").alias("doc_id")), "doc_id") \
-        .groupBy(F.col("doc_id").alias("class_id")).agg(F.max("text").alias("text"))
+    heads = named.select("class_id", F.col("head.row").alias("row"))
+    texts = rows.select("row", "text").join(sizes.select("class_id").join(heads, "class_id"), "row") \
+        .groupBy("class_id").agg(F.max("text").alias("text"))
     checked = texts.join(placed.select("class_id", "bucket"), "class_id").repartition("bucket") \
         .sortWithinPartitions("bucket", "class_id").select("bucket", "class_id", "text") \
         .mapInArrow(_verified(k, percent), "a bigint, b bigint")
     found = components(spark, checked).select(F.col("node").alias("class_id"), F.col("component"))
 
-    members = sets.select("doc_id", "digest", "n").join(classes.select("digest", "class_id"), "digest", "left")
-    return members.join(found, "class_id", "left").select(
+    tied = stored(spark, found.join(named.select("class_id", "digest", "head"), "class_id"), "tied")
+    best = tied.groupBy("component").agg(F.min("head").alias("best"))
+    best = tied.join(best, "component").select("digest", "best")
+    ends = named.select("digest", "head").join(best, "digest", "left") \
+        .select("digest", F.coalesce("best", "head").alias("head"))
+    return sets.select("doc_id", "row", "digest", "n").join(ends, "digest", "left").drop("digest")
+
+
+def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id",
+                   text_column: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) per document: the smallest id that links lead to.
+
+    Links: ``100 * intersection >= percent * union`` of the sets of ``k``-word shingles.
+    """
+    return _grouped(docs, k, percent, id_column, text_column).select(
         F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "class_id", "doc_id").alias("component_id"))
+        F.coalesce("head.doc_id", "doc_id").alias("component_id"))
+
+
+def first_rows(docs: DataFrame, k: int, percent: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(row), the ``row_key`` of the first row of every group; rows without shingles are their own group."""
+    return _grouped(docs, k, percent, id_column, text_column) \
+        .filter("head is null or row = head.row").select("row")

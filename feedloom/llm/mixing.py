@@ -2,8 +2,8 @@
 
 1. Sources get targets: weights share all words, no target exceeds ``MOST_PASSES`` times its source, the
    excess goes to the others by weight.
-2. The documents of a source are dealt into blocks of about ``block_words`` words by a hash, which
-   permutes them. A target of 2.3 sources takes every block twice and, in block order, blocks for the
+2. The documents of a source are dealt into blocks of about ``block_words`` words by a hash of the kept
+   columns and the text, which permutes them. A target of 2.3 sources takes every block twice and, in block order, blocks for the
    rest; the block at the end of the rest gives documents, largest first, as they still fit, and one
    more if that comes closer.
 3. The blocks each source gives are exact quotas. From the root, which holds all output shards, every
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import let, stored, words
+from feedloom.llm.common import let, row_key, stored, words
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -140,10 +140,11 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int = BLOCK_WORDS, weights=WEIGHTS,
              source_column: str = "source", text_column: str = "text") -> DataFrame:
-    """``keep`` columns, source, size, source_size, target and ``shards``: one entry per copy in the mix."""
+    """``keep`` columns (the id first), source, size, source_size, target, ``shards``: one entry per copy in
+    the mix, and ``mix_row``, the key of id and text by which ``mixed`` finds the row again."""
     spark = docs.sparkSession
-    key = F.xxhash64(F.lit(seed), *keep)
-    sized = stored(spark, docs.select(*keep, F.col(source_column).alias("source"), key.alias("_key"),
+    key = F.xxhash64(F.lit(seed), *keep, F.coalesce(F.col(text_column), F.lit("")))
+    sized = stored(spark, docs.select(*keep, row_key(keep[0], text_column).alias("mix_row"), F.col(source_column).alias("source"), key.alias("_key"),
                                       F.size(words(F.col(text_column))).cast("long").alias("size")), "sizes", slim=True)
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
     full = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0).cast("int")
@@ -201,7 +202,7 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
         F.col("rest_in").isNull(), F.col("whole_in")).otherwise(F.array_append("whole_in", F.col("rest_in"))),
         F.array().cast("array<bigint>")))
     # One block per source at most ends within its words: a bounded list, largest document first.
-    columns = [*keep, "source", "size", "source_size", "target"]
+    columns = [*keep, "mix_row", "source", "size", "source_size", "target"]
     listed = mixed.filter(ending).groupBy("number", "block", "room").agg(F.first("whole_in").alias("whole_in"), F.first(
         "rest_in").alias("rest_in"), F.sort_array(F.collect_list(F.struct(
             (-F.col("size")).alias("_order"), "_key", *columns))).alias("list"))
@@ -225,14 +226,16 @@ def mix_plan(docs: DataFrame, keep: list[str], seed: int = 1, block_words: int =
     return outside.select(*columns, "shards").unionByName(at_end.select(*columns, "shards"))
 
 
-def mixed(plan: DataFrame, docs: DataFrame, id_column: str = "doc_id", seed: int = 1) -> DataFrame:
+def mixed(plan: DataFrame, docs: DataFrame, id_column: str = "doc_id", seed: int = 1,
+          text_column: str = "text") -> DataFrame:
     """The mix itself: the columns of ``docs`` and ``mix_shard``, one row per copy, shuffled in each shard.
 
-    Repeated rows of one id count as one document with the copies of all of them. A column of ``docs``
-    that is called ``mix_shard`` is replaced.
+    Rows of one id and one text count as one document with the copies of all of them; different texts of an
+    id, and texts without an id, are documents of their own. Columns of ``docs`` that are called
+    ``mix_shard`` or ``mix_row`` are replaced.
     """
-    copies = plan.select(F.col(id_column).alias("_mix_id"), F.explode("shards").alias("mix_shard"))
-    single = docs.drop("mix_shard").dropDuplicates([id_column])
-    return single.join(copies, single[id_column].eqNullSafe(copies["_mix_id"])).drop(copies["_mix_id"]) \
-        .repartition("mix_shard").sortWithinPartitions(
-            "mix_shard", F.xxhash64(F.lit(seed), id_column, "mix_shard"), id_column)
+    copies = plan.select("mix_row", F.explode("shards").alias("mix_shard"))
+    single = docs.drop("mix_shard", "mix_row").withColumn("mix_row", row_key(id_column, text_column)) \
+        .dropDuplicates(["mix_row"])
+    return single.join(copies, "mix_row").repartition("mix_shard").sortWithinPartitions(
+        "mix_shard", F.xxhash64(F.lit(seed), id_column, "mix_shard"), id_column, "mix_row").drop("mix_row")

@@ -79,3 +79,40 @@ def test_stages_on_odd_rows_alone(spark, sf_dir, odd):
         out = function(spark, odd, sf_dir)
         assert out.columns == odd.columns, stage
         out.collect()
+
+
+def test_rows_without_id_and_clashing_ids_keep_their_texts(spark, sf_dir):
+    good = [r.text for r in table(spark, sf_dir, "documents").orderBy("doc_id").collect()
+            if not brute.base_statistics(r.text)[5]]
+    different = []
+    for text in good:
+        mine = brute.shingles(text, 5)
+        if all(100 * len(mine & s) < 50 * len(mine | s) for s in map(lambda t: brute.shingles(t, 5), different)):
+            different.append(text)
+        if len(different) == 9:
+            break
+    near = different[0] + " tail"
+    rows = [(None, t, "en", "s") for t in different[:3]] + [(7, t, "en", "s") for t in different[3:6]]
+    rows += [(k, t, "en", "s") for k, t in enumerate(different[6:], 20)] + [(None, near, "en", "s"), rows[0], (None, "short", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    second = stored(spark, cp.quality_rules(spark, docs, sf_dir), "k2")
+    assert Counter(r.text for r in second.collect()) == Counter(t for _, t, *_ in rows if t != "short")
+    third = stored(spark, cp.ngram_jaccard(spark, second, sf_dir), "k3")
+    texts = [r.text for r in third.collect()]
+    assert len(texts) == 9 and {different[0] if t == near else t for t in texts} == set(different)
+    plan = mixing.mix_plan(third, ["doc_id"]).collect()
+    fourth = cp.source_mix(spark, third, sf_dir).collect()
+    assert len(plan) == 9 and len(fourth) == sum(len(r.shards) for r in plan)
+    words = lambda text: len((text or "").split())
+    assert sum(words(r.text) for r in fourth) == sum(r.size * len(r.shards) for r in plan)
+    assert {r.text for r in fourth} == set(texts)
+
+
+def test_clashing_ids_link_by_their_own_text(spark):
+    from feedloom.llm.jaccard import jaccard_groups
+    base = " ".join(f"alpha{k}" for k in range(200))
+    other = " ".join(f"zeta{k}" for k in range(200))
+    docs = spark.createDataFrame([(1, base), (1, other), (2, base + " end"), (None, other + " end"), (None, "lone text here")],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_groups(docs).collect()}
+    assert got == {(1, 198): 1, (2, 199): 1, (None, 199): 1, (None, 1): None}
