@@ -7,7 +7,8 @@ frequent on that side. A text's statistics of (ordinary length - toxic length) o
 calibrated to a probability by logistic regression on training documents.
 
 Learned from a bounded sample of training rows, ``MOST_TOXIC`` and ``MOST_ORDINARY`` documents chosen by
-a hash of their id; whole texts of all documents are scored. Null and empty texts have no windows and
+a hash of their id, equal texts of a class once; their characteristic words are all taken, in segments of
+about ``SEGMENT`` bytes. Whole texts of all documents are scored. Null and empty texts have no windows and
 get the score of statistics that are all zero. Without training rows of either class every score is
 the share of the other. Repeated rows are all scored. Extra columns are ignored.
 """
@@ -29,8 +30,7 @@ MOST_TOXIC, MOST_ORDINARY = 3_000, 9_000
 WINDOW, LEVEL = 96, 9
 BASE_BYTES, OWN_BYTES = 8_192, 2_048
 LEAST_Z, LEAST_RATIO, MOST_WORDS = 4.5, 8.0, 400
-OPENING = 60
-MOST_WINDOWS, MOST_SEGMENT = 20_000, 4_000
+MOST_WINDOWS, SEGMENT = 20_000, 4_000
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -76,15 +76,15 @@ def _trained(samples: list[bytes], size: int, pad: bytes) -> bytes:
 
 def training_rows(docs: DataFrame, labels: DataFrame, train) -> DataFrame:
     """(doc_id, text, toxic) of the bounded training sample. Its ids are few and broadcast. Of documents
-    that open alike one stays: copies would pass their words off as typical of a class."""
+    with the same whole text one stays: copies would pass their words off as typical of a class."""
     known = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(train)
     order = F.xxhash64("doc_id", F.lit("sample"))
     some = known.filter("toxic = 1").orderBy(order, "doc_id").limit(MOST_TOXIC) \
         .unionAll(known.filter("toxic != 1").orderBy(order, "doc_id").limit(MOST_ORDINARY))
     some = stored(docs.sparkSession, some.withColumn("toxic", (F.col("toxic") == 1).cast("int")), "toxic-sample")
     found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
-    opening = F.substring(F.coalesce("text", F.lit("")), 1, OPENING)
-    return found.groupBy(opening.alias("opening"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d")) \
+    whole = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return found.groupBy(whole.alias("whole"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d")) \
         .select("d.doc_id", "d.text", "toxic")
 
 
@@ -102,6 +102,19 @@ def _contrast(sample: DataFrame, n_toxic: int, n_ordinary: int) -> tuple[list[st
     return take(toxic, F.desc("z")), take(ordinary, F.col("z"))
 
 
+def segments_of(text: str | None, words: frozenset[bytes]) -> list[bytes]:
+    """All words of a text that are in ``words``, in order, cut after the word that reaches ``SEGMENT`` bytes."""
+    out, held, size = [], [], 0
+    for word in (text or "").encode("utf-8", "surrogatepass").split():
+        if word in words:
+            held.append(word)
+            size += len(word) + 1
+            if size > SEGMENT:
+                out.append(b" ".join(held))
+                held, size = [], 0
+    return out + [b" ".join(held)] if held else out
+
+
 def fit(docs: DataFrame, labels: DataFrame, train) -> dict:
     """The model: two dictionaries, calibration weights. ``train``: condition on ``doc_id``."""
     spark = docs.sparkSession
@@ -118,14 +131,12 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> dict:
                                    for words in _contrast(sample, n_toxic, n_ordinary))
 
     def segments(batches):
-        """Per document, its over-represented words in order (first bytes only, a bounded sample), and
-        for ordinary text its windows."""
+        """Per document, all its over-represented words in order, and for ordinary text its windows."""
         for batch in batches:
             kinds, orders, out = [], [], []
             for number, text, toxic in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
                 keep = toxic_words if toxic else ordinary_words
-                own = b" ".join(w for w in (text or "").encode("utf-8", "surrogatepass").split() if w in keep)
-                found = [(toxic, own[:MOST_SEGMENT])] if own else []
+                found = [(toxic, piece) for piece in segments_of(text, keep)]
                 if not toxic:
                     found += [(2, w) for w in windows(text)]
                 for k, (kind, piece) in enumerate(found):
@@ -135,11 +146,12 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> dict:
                                               pa.array(out, pa.binary())], names=["kind", "rank", "piece"])
 
     pieces = sample.mapInArrow(segments, "kind int, rank binary, piece binary")
-    some = lambda kind, most: [bytes(r.piece) for r in pieces.filter(F.col("kind") == kind)
-                               .orderBy("rank").limit(most).collect()]
-    base = _trained(some(2, MOST_WINDOWS), BASE_BYTES, b" ")
-    content = {"toxic": _trained(some(1, MOST_TOXIC), OWN_BYTES, base) + base,
-               "ordinary": _trained(some(0, MOST_ORDINARY), OWN_BYTES, base) + base}
+    of = lambda kind: pieces.filter(F.col("kind") == kind).orderBy("rank")
+    listed = lambda rows: [bytes(r.piece) for r in rows.collect()]
+    base = _trained(listed(of(2).limit(MOST_WINDOWS)), BASE_BYTES, b" ")
+    # The documents are a bounded sample already; none of their segments goes.
+    content = {"toxic": _trained(listed(of(1)), OWN_BYTES, base) + base,
+               "ordinary": _trained(listed(of(0)), OWN_BYTES, base) + base}
     model = spark.sparkContext.broadcast(content)
 
     def measured(batches):

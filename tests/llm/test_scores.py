@@ -42,6 +42,22 @@ def test_toxicity_finds_held_out_documents(spark):
     assert np.allclose(again["weights"], model["weights"])
 
 
+def test_training_keeps_different_texts_that_open_alike(spark):
+    line = "the same opening line of a hot source that goes on for more than sixty characters "
+    rows = [(k, line + f"then text {k}") for k in range(20)] + [(20, line + "then text 3"), (21, None), (22, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], LABELS)
+    got = toxicity.training_rows(docs, labels, F.lit(True)).collect()
+    assert Counter((r.text or "", r.toxic) for r in got) == Counter({(t or "", k % 2) for k, t in rows})
+
+
+def test_segments_hold_all_words():
+    words = [b"bad%d" % (k % 50) for k in range(5_000)] + [b"late"]
+    pieces = toxicity.segments_of(" ".join(w.decode() + " fine" for w in words), frozenset(words))
+    assert b" ".join(pieces).split() == words and all(len(p) < toxicity.SEGMENT + 10 for p in pieces)
+    assert toxicity.segments_of(None, frozenset(words)) == []
+
+
 def test_toxicity_odd(spark, odd, none):
     known = spark.createDataFrame([(3, 1, 1), (5, 1, 0), (6, 0, None)], LABELS)
     for labels in (known, known.limit(0), known.filter("toxic = 1")):
