@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license notices.
 
-A block is a line; its set, like a template's, is that of its words. Tokens are ordered by their count
+A block is a line, or a paragraph: a run of lines that no line without words parts, so that notices wrapped
+over lines are found (comment marks are no words). Its set, like a template's, is that of its words. Tokens are ordered by their count
 in the whole corpus, rare first. A block that holds ``CONTAINMENT`` of a template's tokens must hold one
 of the template's first ``|T| - ceil(c |T|) + 1`` tokens, so only those are indexed; candidates must be
 long enough, and the place of the first common token must leave enough tokens; the rest is verified.
@@ -98,6 +99,18 @@ class NoticeIndex:
         return out
 
 
+def paragraphs(lines: list[list[bytes]]):
+    """(first line, last line) of all runs of two or more lines with words."""
+    first = None
+    for number, line in enumerate([*lines, []]):
+        if line and first is None:
+            first = number
+        elif not line and first is not None:
+            if number - first > 1:
+                yield first, number - 1
+            first = None
+
+
 def notice_token_counts(docs: DataFrame, notices: dict[str, str], text_column: str = "text") -> dict[bytes, int]:
     """How often each token of the notices occurs in the whole corpus."""
     vocabulary = frozenset(t for text in notices.values() for t in words(text))
@@ -117,11 +130,13 @@ def notice_token_counts(docs: DataFrame, notices: dict[str, str], text_column: s
 
 
 MATCH = "array<struct<block: bigint, label: string, containment: double>>"
+WRAPPED = "array<struct<first: bigint, last: bigint, label: string, containment: double>>"
 
 
 def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, containment: float = CONTAINMENT,
                   phrases: dict[str, str] | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_words, starts, phrase_labels, matches) per document; matches: block number, notice, containment."""
+    """(id, n_words, starts, phrase_labels, matches, wrapped) per document; matches: line number, notice,
+    containment; wrapped: the same of paragraphs of several lines, with their first and last line."""
     notices = NOTICES if notices is None else notices
     shared = docs.sparkSession.sparkContext.broadcast(
         (NoticeIndex(notices, notice_token_counts(docs, notices, text_column), containment),
@@ -131,7 +146,7 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
         index, wanted = shared.value
         prefix, anchors = frozenset(index.index), frozenset(phrase[0] for phrase in wanted)
         for batch in batches:
-            counts, starts, labels, matches = [], [], [], []
+            counts, starts, labels, matches, wrapped = [], [], [], [], []
             for value in batch.column(1):
                 raw = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 found = raw.translate(_TABLE).split()
@@ -139,21 +154,29 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
                 places, named = phrase_places(found, wanted) if not anchors.isdisjoint(found) else ([], set())
                 starts.append(sorted(places))
                 labels.append(sorted(named))
-                rows = []
+                rows, runs = [], []
                 if not prefix.isdisjoint(found):
-                    for number, line in enumerate(raw.translate(_LINES).split(b"\n")):
-                        tokens = line.split()
+                    lines = [line.split() for line in raw.translate(_LINES).split(b"\n")]
+                    for number, tokens in enumerate(lines):
                         if not prefix.isdisjoint(tokens):
                             rows += [{"block": number, "label": label, "containment": share}
                                      for label, share in index.matches(tokens)]
+                    for first, last in paragraphs(lines):
+                        tokens = [t for line in lines[first:last + 1] for t in line]
+                        if not prefix.isdisjoint(tokens):
+                            runs += [{"first": first, "last": last, "label": label, "containment": share}
+                                     for label, share in index.matches(tokens)]
                 matches.append(rows)
+                wrapped.append(runs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(starts, pa.list_(pa.int64())),
                  pa.array(labels, pa.list_(pa.string())), pa.array(matches, pa.list_(pa.struct(
-                     [("block", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])))],
-                names=[id_column, "n_words", "starts", "phrase_labels", "matches"])
+                     [("block", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))),
+                 pa.array(wrapped, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string()),
+                                                       ("containment", pa.float64())])))],
+                names=[id_column, "n_words", "starts", "phrase_labels", "matches", "wrapped"])
 
     rows = docs.select(id_column, text_column)
     kind = rows.schema[id_column].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_column}` {kind}, n_words long, starts array<bigint>, "
-                                f"phrase_labels array<string>, matches {MATCH}")
+                                f"phrase_labels array<string>, matches {MATCH}, wrapped {WRAPPED}")

@@ -76,14 +76,17 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_licenses(table(spark, sf_dir, "documents"))
-    found = F.transform("matches", lambda m: m["label"])
+    both = F.concat(*[F.transform(c, lambda m: F.struct(m["label"].alias("label"), m["containment"].alias("containment")))
+                      for c in ("matches", "wrapped")])
+    rows = rows.withColumn("found", both)
+    found = F.transform("found", lambda m: m["label"])
     return rows.select(
         "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
         F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
         F.array_join("phrase_labels", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("phrase_labels", found)), ",").alias("labels"),
         F.greatest(F.when(F.size("starts") > 0, 1.0).otherwise(0.0), F.coalesce(F.array_max(
-            F.transform("matches", lambda m: m["containment"])), F.lit(0.0))).alias("score"))
+            F.transform("found", lambda m: m["containment"])), F.lit(0.0))).alias("score"))
 
 
 def llm_queries() -> dict:

@@ -159,6 +159,35 @@ def test_license_scan_against_brute_force(spark, rows):
                 text, license_scan.NOTICES, containment)
 
 
+def brute_wrapped(text, notices, containment):
+    """Every run of lines with words that cannot be made longer, against every notice."""
+    lines = [set(WORD.findall(lower(line))) for line in (text or "").split("\n")]
+    out = []
+    for first in range(len(lines)):
+        for last in range(first + 1, len(lines)):
+            ends = (first == 0 or not lines[first - 1]) and (last == len(lines) - 1 or not lines[last + 1])
+            if ends and all(lines[first:last + 1]):
+                block = set().union(*lines[first:last + 1])
+                for label, notice in notices.items():
+                    tokens = set(WORD.findall(lower(notice)))
+                    if len(block & tokens) >= -(-int(round(containment * 1000)) * len(tokens) // 1000):
+                        out.append((first, last, label))
+    return sorted(out)
+
+
+def test_wrapped_notices(spark, rows):
+    import textwrap
+    texts = [f"/*\n{textwrap.indent(textwrap.fill(notice, width), mark)}\n */\n\nint main;\nreturn 0"
+             for notice in license_scan.NOTICES.values() for width in (30, 72) for mark in (" * ", "# ", "// ", "")]
+    texts += [r.text for r in rows[:60]] + ["released under\n\nthe mit license", "released under\r\nthe MIT\r\nlicense", None, "", "\n\n"]
+    got = scan(spark, texts)
+    for k, text in enumerate(texts):
+        assert sorted((m.first, m.last, m.label) for m in got[k].wrapped) == brute_wrapped(text, license_scan.NOTICES, 0.8)
+    for k, label in enumerate(label for label in license_scan.NOTICES for _ in range(8)):
+        found = {m.label: m.containment for m in [*got[k].matches, *got[k].wrapped]}
+        assert found[label] == 1, label
+
+
 def test_license_odd(odd, none):
     got = license_scan.scan_licenses(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in odd.collect())
