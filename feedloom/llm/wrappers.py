@@ -9,12 +9,16 @@ tasks align what they read and partial wrappers meet by host in two rounds; a ho
 pages is spread over all tasks of the first round. The slots of the finished wrapper that lie in the
 article are then read from every page.
 
+Tags, roles and hidden elements are furniture for certain. Class words only say so as long as no article
+or main element lies inside and the page has other text (``Page._settle``).
+
 Null and empty pages have an empty text. Repeated rows are all returned. Elements nested deeper than
 ``MAX_DEPTH`` share the path of their ancestor there; their text is kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -54,9 +58,14 @@ ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(
 WORDS = re.compile(r"[A-Za-z]+")
 
 
-def _label(name: str, attrs: str) -> tuple[str, bool]:
+# What a block stands in: text, an element that class words call furniture, certain furniture, or an
+# article inside an element that class words call furniture.
+PLAIN, DOUBTFUL, FURNITURE, WRAPPED = range(4)
+
+
+def _label(name: str, attrs: str) -> tuple[str, int]:
     """Label of an open tag (name and class words) and whether it is page furniture."""
-    furniture = name in FURNITURE_TAGS
+    furniture, doubtful = name in FURNITURE_TAGS, False
     found: list[str] = []
     if attrs and not attrs.isspace():
         for key, *values in ATTRIBUTE.findall(attrs):
@@ -70,10 +79,10 @@ def _label(name: str, attrs: str) -> tuple[str, bool]:
                 names = [words for words in names if words and words[0] not in STATES]
                 if name in ARTICLE_TAGS:
                     names = [words[:1] for words in names[:1]]  # what else such an element may hold is no matter
-                furniture |= name not in ("body", "html") and any(not FURNITURE_WORDS.isdisjoint(words) for words in names)
+                doubtful |= name not in ("body", "html", "main") and any(not FURNITURE_WORDS.isdisjoint(words) for words in names)
                 if key == "class":
                     found += [word for words in names for word in words]
-    return ".".join([name, *dict.fromkeys(found)]), furniture
+    return ".".join([name, *dict.fromkeys(found)]), FURNITURE if furniture else DOUBTFUL if doubtful else PLAIN
 
 
 class Page:
@@ -84,7 +93,9 @@ class Page:
         self.children: dict[str, list[list[str]]] = {}
         self._buffer: list[str] = []
         self._links = self._in_link = 0
-        self._stack: list[tuple[str, str, str, bool, list[str]]] = [("", "", "", False, [])]
+        self._stack: list[tuple[str, str, str, int, list[str]]] = [("", "", "", PLAIN, [])]
+        self._kinds: list[int] = []
+        self._articles = self._wrapped = 0
         at, end = 0, len(source)
         while at < end:
             token = TOKEN.search(source, at)
@@ -105,9 +116,25 @@ class Page:
         self._flush()
         while self._stack:
             self._pop()
+        self._settle()
+
+    def _settle(self) -> None:
+        """Drops doubtful blocks. An article that stands in doubtful elements stays if it holds more text
+        than the articles outside and is the only such one, or if outside there is none; a page without any
+        article whose text is all doubtful keeps it."""
+        def chars(kind, test=lambda path: True):
+            return sum(len(text) for (path, text, _), k in zip(self.blocks, self._kinds) if k == kind and test(path))
+
+        kept = {PLAIN}
+        named = chars(PLAIN, lambda path: any(label.split(".")[0] == "article" for label in path.split("/")))
+        if chars(WRAPPED) > chars(PLAIN, _in_article) and (self._wrapped == 1 or not named):
+            kept.add(WRAPPED)
+        if not self._articles and not kept.intersection(self._kinds):
+            kept.add(DOUBTFUL)
+        self.blocks = [block for block, kind in zip(self.blocks, self._kinds) if kind in kept]
 
     def _text(self, text: str) -> None:
-        if text and not self._stack[-1][3]:
+        if text and self._stack[-1][3] != FURNITURE:
             self._buffer.append(text)
             self._links += len(text) if self._in_link else 0
 
@@ -116,7 +143,9 @@ class Page:
             text = " ".join(html.unescape("".join(self._buffer)).split())
             if text:
                 path = self._stack[-1][2] + "/#"
-                self._stack[-1][4].append("#")
+                if self._stack[-1][3] != DOUBTFUL:
+                    self._stack[-1][4].append("#")
+                self._kinds.append(self._stack[-1][3])
                 self.blocks.append((path, text, min(self._links, len(text))))
             self._buffer, self._links = [], 0
 
@@ -138,7 +167,21 @@ class Page:
         above = self._stack[-1]
         above[4].append(label)
         path = above[2] if len(self._stack) > MAX_DEPTH else f"{above[2]}/{label}"
-        self._stack.append((name, label, path, above[3] or furniture, []))
+        self._stack.append((name, label, path, self._kind(name, above[3], furniture), []))
+
+    def _kind(self, name: str, above: int, own: int) -> int:
+        if FURNITURE in (above, own):
+            return FURNITURE
+        if own == DOUBTFUL:
+            return DOUBTFUL
+        self._articles += name in ARTICLE_TAGS
+        if above == DOUBTFUL and name == "main":
+            return PLAIN
+        if above == DOUBTFUL and name == "article" and not any(
+                entry[0] == "article" and entry[3] != DOUBTFUL for entry in self._stack):
+            self._wrapped += 1
+            return WRAPPED
+        return above
 
     def _drop_open(self, names, scope) -> None:
         for depth in range(len(self._stack) - 1, 0, -1):
@@ -169,7 +212,10 @@ class Page:
 
 # A wrapper: {"pages": n, "of": {path: {"groups": [[label, ...], ...], "rep": [label, ...],
 #   "seen": {label: elements that hold it}, "n": elements}}, "slots": {path: [blocks, characters, link
-#   characters, constant text or None, pages]}}
+#   characters, constant text or None, pages, digests of the first MANY of its different pages]}}
+
+MANY = 3  # different pages that must agree before a text is the template's
+
 
 def new_wrapper() -> dict:
     return {"pages": 0, "of": {}, "slots": {}}
@@ -212,14 +258,17 @@ def align_page(wrapper: dict, page: Page) -> None:
                 if count > 1 and label not in known["rep"]:
                     known["rep"].append(label)
     here: set[str] = set()
+    digest = hashlib.blake2b(repr([block[:2] for block in page.blocks]).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
     for path, text, links in page.blocks:
-        slot = wrapper["slots"].setdefault(path, [0, 0, 0, text, 0])
+        slot = wrapper["slots"].setdefault(path, [0, 0, 0, text, 0, []])
         slot[0] += 1
         slot[1] += len(text)
         slot[2] += links
         slot[3] = slot[3] if slot[3] == text else None
-        slot[4] += path not in here
-        here.add(path)
+        if path not in here:
+            slot[4] += 1
+            slot[5] = sorted({*slot[5], digest})[:MANY]
+            here.add(path)
 
 
 def align_wrappers(wrapper: dict, other: dict) -> dict:
@@ -235,7 +284,7 @@ def align_wrappers(wrapper: dict, other: dict) -> dict:
         slot = wrapper["slots"].get(path)
         wrapper["slots"][path] = theirs if slot is None else [
             slot[0] + theirs[0], slot[1] + theirs[1], slot[2] + theirs[2],
-            slot[3] if slot[3] == theirs[3] else None, slot[4] + theirs[4]]
+            slot[3] if slot[3] == theirs[3] else None, slot[4] + theirs[4], sorted({*slot[5], *theirs[5]})[:MANY]]
     return wrapper
 
 
@@ -268,14 +317,20 @@ def article_slots(wrapper: dict) -> list[str]:
     """Paths of the text slots that belong to the article.
 
     Slots inside an article container, where the wrapper has one; otherwise those that are neither
-    mostly links nor the same constant on several pages.
+    mostly links over all pages (titles may be) nor the same constant on several different pages; if
+    these are none, all.
     """
     slots = wrapper["slots"]
     inside = [path for path in slots if _in_article(path)]
     if inside:
         return inside
-    return [path for path, (blocks, chars, links, constant, pages) in slots.items()
-            if 2 * links <= chars and not (constant is not None and pages > 2 and len(slots) > 1)]
+    return [path for path, (blocks, chars, links, constant, pages, different) in slots.items()
+            if (2 * links <= chars or _is_title(path))
+            and not (constant is not None and len(different) >= MANY and len(slots) > 1)] or list(slots)
+
+
+def _is_title(path: str) -> bool:
+    return any(label.split(".")[0] == "h1" for label in path.split("/"))
 
 
 def _partial(batches):
@@ -330,12 +385,18 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def page_text(source: str | None, slots) -> str:
-    """Article blocks of one page; a page that fills no article slot gives what is no furniture."""
+    """Article blocks of one page; a page that fills no article slot gives the slots that are not mostly
+    links, or all if these are none."""
     if not source:
         return ""
     blocks, wanted = Page(source).blocks, frozenset(slots or ())
-    return "\n".join([text for path, text, _ in blocks if path in wanted] or
-                     [text for path, text, links in blocks if 2 * links <= len(text)])
+    found = [text for path, text, _ in blocks if path in wanted]
+    if not found:
+        chars: dict[str, int] = {}
+        for path, text, links in blocks:
+            chars[path] = chars.get(path, 0) + len(text) - 2 * links
+        found = [text for path, text, _ in blocks if chars[path] >= 0 or _is_title(path)] or [text for _, text, _ in blocks]
+    return "\n".join(found)
 
 
 def _extract(batches):

@@ -97,3 +97,30 @@ def test_empty_and_extra_columns(spark):
 @pytest.mark.parametrize("source", ["<" * 3000, "<p class='" * 500, "</p>" * 3000, "<a href=\"" + "x" * 50_000, "<!--" * 500])
 def test_hostile_pages_end(source):
     w.page_text(source, [])
+
+
+@pytest.mark.parametrize("name", ["class='layout-with-sidebar'", "class='page-with-sidebar'", "id='search-and-content'",
+                                  "class='two-col-sidebar-right'"])
+def test_class_words_do_not_hide_an_article(name):
+    side = "<div class='sidebar'>side</div>"
+    for body in (f"<div {name}>{side}<article><h1>t</h1><p>kept text</p></article></div>",
+                 f"<main><h1>t</h1><div {name}>{side}<article><p>kept text</p></article></div></main>",
+                 f"<div {name}>{side}<main><h1>t</h1><p>kept text</p></main></div>"):
+        assert w.page_text(body, w.article_slots(infer([body]))) == "t\nkept text"
+    assert w.page_text(f"<div {name}><p>kept text</p></div>", []) == "kept text"
+    long = "a long comment " * 9
+    for body in (f"<article>kept</article><section class=comments><article>{long}</article><article>{long}</article></section>",
+                 f"<article>kept<section class=comments><article>{long}</article></section></article>",
+                 f"<article>kept</article><article class='comment-body'>{long}</article>"):
+        assert w.page_text(body, w.article_slots(infer([body]))) == "kept"
+
+
+def test_links_and_copies_lose_no_text(spark):
+    linked = "<div><h1><a href=/>title {k}</a></h1><p>some words {k}</p><p><a href=/>all of this is a link {k}</a></p><p>and more plain words {k}</p></div>"
+    rows = [(k, "https://links.example/", linked.format(k=k)) for k in range(4)]
+    rows += [(10 + k, "https://copies.example/", "<div><h1>head</h1><p>one</p><p>two</p></div>") for k in range(5)]
+    rows += [(20, "https://alone.example/", "<div><p><a href=/>only a link</a></p></div>")]
+    got = {r.page_id: r.text for r in w.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(4):
+        assert got[k] == f"title {k}\nsome words {k}\nall of this is a link {k}\nand more plain words {k}"
+    assert {got[10 + k] for k in range(5)} == {"head\none\ntwo"} and got[20] == "only a link"
