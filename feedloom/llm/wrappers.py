@@ -7,7 +7,8 @@ same everywhere fold into one repeated group of optional parts, and text becomes
 constant while all pages agree on it). Aligning wrappers is the same operation as aligning pages, so
 tasks align what they read and partial wrappers meet by host in two rounds; a host that holds most
 pages is spread over all tasks of the first round. The slots of the finished wrapper that lie in the
-article are then read from every page.
+article are then read from every page: they are chosen by tags, class words, links and constancy of their
+paths. The expression only describes a host, pages are not matched against it.
 
 Tags, roles and hidden elements are furniture for certain. Class words only say so as long as no article
 or main element lies inside and the page has other text (``Page._settle``).
