@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, quality_model, toxicity
+from feedloom.llm import bpe, pii, quality_model, toxicity
 from feedloom.llm.common import table
+from feedloom.llm.conversation_repair import repair
+from feedloom.llm.fill_in_middle import fill_in_middle, restore
 from feedloom.llm.fingerprints import fingerprints
 from feedloom.llm.jaccard import jaccard_groups
 from feedloom.llm.license_scan import scan_licenses
@@ -89,11 +91,62 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform("found", lambda m: m["containment"])), F.lit(0.0))).alias("score"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(F.col("repaired").cast("binary"), 256).alias("repaired_sha256"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.fit(docs))
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"),
+                        pii.joined(F.concat("base", "added")).alias("spans"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restore("output", "form").cast("binary"), 256).alias("restored_sha256"))
+
+
 def llm_queries() -> dict:
     return {f.__name__: f for f in (
         op1_token_counts, op2_html_text, op3_quality_rules, op4_bpe_codec, op5_toxicity, op6_quality_classifier,
-        op7_source_mix, op8_license_scan, op9_fingerprints, op10_ngram_jaccard)}
+        op7_source_mix, op8_license_scan, op9_fingerprints, op10_ngram_jaccard, op11_conversation_repair, op12_pii,
+        op13_fill_in_middle)}
+
+
+# DuckDB: cuts of op13 from the list of units, without a skip list.
+FILL_IN_MIDDLE_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS toks,
+         ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4 FROM d),
+c AS (
+  SELECT *, len(toks) AS n,
+         CASE WHEN t = '' OR strpos(t, '<P>') > 0 OR strpos(t, '<S>') > 0 OR strpos(t, '<M>') > 0
+              OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) AS a,
+         greatest(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) AS b FROM u),
+p AS (
+  SELECT *, array_to_string(list_slice(toks, 1, a), '') AS pre, array_to_string(list_slice(toks, a + 1, b), '') AS mid,
+         array_to_string(list_slice(toks, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form = 'plain' THEN NULL ELSE CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form = 'plain' THEN NULL ELSE CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op13_fill_in_middle": FILL_IN_MIDDLE_SQL}
