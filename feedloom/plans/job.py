@@ -85,7 +85,7 @@ def _split_verdicts(rows: DataFrame, feed: Feed, folder: str) -> tuple[DataFrame
 def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | DataFrame, out: str, *,
              inputs: Inputs | None = None, file_name: str | None = None, mode: str = "append",
              skip_empty: bool = False, diagnostic: bool = False, complete: bool = False,
-             strict: bool = False, row_length: int | None = None) -> None:
+             strict: bool = False, row_length: int | None = None, encoding: str | None = None) -> None:
     """Write ``target``, ``rejected``, ``exceptions``, ``audit`` and ``audit_tab`` below ``out``.
 
     The source is read twice: once for the verdicts, where rejected lines go to a scratch folder and
@@ -95,13 +95,15 @@ def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | Da
     and exceptions keep their blanks. Every line is accepted, rejected or missing (null), so rows in
     are the sum of the three. Of equal lookup keys one counts (see ``unique_lookup``). ``strict`` takes
     a named feed as published, with its overlapping fields; ``row_length`` takes lines of another length.
+    ``encoding`` (``UTF-8``, ``ISO-8859-1``, ``US-ASCII``) decodes the lines of a text source: a line that is
+    no text of it is quarantined with its bytes (hex), so rows in = target + rejected + quarantined still holds.
     """
     tune(spark)
     feed = (STRICT_FEEDS if strict else FEEDS)[feed] if isinstance(feed, str) else feed
     feed = with_row_length(feed, row_length) if row_length else feed
     inputs = (inputs or Inputs()).filled(spark, feed)
     table = isinstance(source, DataFrame)
-    lines = source if table else read_lines(spark, source, origin=True)
+    lines = source if table else read_lines(spark, source, origin=True, encoding=encoding)
     order = ("_ROW_ID",) if table else (*ORIGIN, "_ROW_ID")
     file_name = file_name or (source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str) else feed.name)
 
@@ -119,7 +121,8 @@ def run_feed(spark: SparkSession, feed: Feed | str, source: str | list[str] | Da
             writers.write_rejected(refused, f"{out}/rejected", mode, order)
             writers.write_exceptions(exception_rows(refused), f"{out}/exceptions", mode, order)
         if any(status is None for _, status, _, _ in counts):
-            missing = bad.where("_MISSING").select("_ROW_ID", F.lit(None).cast("string").alias("value"))
+            missing = bad.where("_MISSING").select("_ROW_ID", F.lit(None).cast("string").alias("value"),
+                                                   *[c for c in ("_BYTES",) if c in bad.columns])
             writers.write_quarantine(missing, f"{out}/error", mode)
 
         counted = audit.tally(refused).unionByName(

@@ -359,6 +359,11 @@ def all_oracles() -> dict[str, str]:
         "job_audit_tab": _with_missing(tabular()),
         "job_quarantine": "SELECT c_custkey AS _ROW_ID, CAST(NULL AS VARCHAR) AS value FROM customer"
                           " WHERE c_custkey % 23 = 0",
+        "job_undecodable": ledger("customer") + (
+            "SELECT 'in' AS output, count(*) AS rows FROM st"
+            " UNION ALL SELECT 'target', count(*) FILTER (WHERE k % 29 <> 0 AND status = 0) FROM st"
+            " UNION ALL SELECT 'rejected', count(*) FILTER (WHERE k % 29 <> 0 AND status <> 0) FROM st"
+            " UNION ALL SELECT 'quarantined', count(*) FILTER (WHERE k % 29 = 0) FROM st"),
         "fw_lookup_duplicates": ledger("customer").replace(ACCOUNT_CASE, padded) + (
             f"SELECT k AS _ROW_ID, {STATUS}, CASE WHEN status = 0 THEN rendered ELSE line END AS _ROW_DATA FROM st"),
         "fw_lookup_large": ledger("customer").replace(ACCOUNT_CASE, padded) + (

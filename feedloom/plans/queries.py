@@ -297,6 +297,33 @@ def job_quarantine(spark, sf_dir):
     return spark.read.schema("_ROW_ID BIGINT, value STRING").json(f"{out}/error")
 
 
+UNDECODABLE_EVERY = 29   # every 29th line of the source gets two Latin-1 letters in place of two characters
+
+
+def undecodable_source(spark, sf_dir) -> str:
+    """Ledger lines of ``customer`` as a text file in which some lines are no UTF-8: bytes E9 FC at 30-31."""
+    source = scratch_folder(spark, "source")
+    raw = F.encode("value", "UTF-8")
+    bad = F.concat(F.substring(raw, 1, 29), F.unhex(F.lit("E9FC")), F.substring(raw, 32, 1 << 20))
+    value = F.when(F.col("_ROW_ID") % UNDECODABLE_EVERY == 0, bad).otherwise(raw).cast("string")
+    ledger_lines(spark, sf_dir).select(value.alias("value")).write.text(source)
+    return source
+
+
+def job_undecodable(spark, sf_dir):
+    """A run over a text file with lines that are no UTF-8: lines in, and lines of every output."""
+    source, out = undecodable_source(spark, sf_dir), scratch_folder(spark, "job")
+    job.run_feed(spark, LEDGER, source, out, file_name=FILE_NAME, encoding="UTF-8",
+                 inputs=job.Inputs(file_metadata=_metadata(spark)))
+    def count(output, rows):
+        return rows.agg(F.lit(output).alias("output"), F.count(F.lit(1)).alias("rows"))
+    return (count("in", spark.read.text(source))
+            .unionByName(count("target", spark.read.text(f"{out}/target")))
+            .unionByName(count("rejected", _csv(spark, f"{out}/rejected", "_ROW_ID BIGINT")))
+            .unionByName(count("quarantined", spark.read.schema("_ROW_ID BIGINT, value STRING, _BYTES STRING")
+                               .json(f"{out}/error").where(F.col("_BYTES").isNotNull()))))
+
+
 def fw_lookup_duplicates(spark, sf_dir):
     """A given lookup with repeated keys: one row per line all the same, the last in order counts."""
     tune(spark)
@@ -447,7 +474,7 @@ SINGLE = (fw_extract, fw_typed_structs, fw_length_reject, fw_classify, fw_xref_j
           sink_exceptions, sink_diagnostic, sink_quarantine, sink_job, source_table_lines,
           audit_counts, audit_totals, audit_weighted_unpivot, audit_exception_categories, audit_values,
           audit_report_long, audit_report_tabular, type_split_trim,
-          job_target_order, job_rejected, job_exceptions, job_audit, job_audit_tab, job_quarantine,
+          job_target_order, job_rejected, job_exceptions, job_audit, job_audit_tab, job_quarantine, job_undecodable,
           fw_lookup_duplicates, fw_lookup_large,
           type_split_cells, file_manifest, destination_names)
 
