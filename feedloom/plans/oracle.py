@@ -359,6 +359,8 @@ def all_oracles() -> dict[str, str]:
         "job_audit_tab": _with_missing(tabular()),
         "job_quarantine": "SELECT c_custkey AS _ROW_ID, CAST(NULL AS VARCHAR) AS value FROM customer"
                           " WHERE c_custkey % 23 = 0",
+        "meta_by_name": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CASE WHEN n_nationkey % 2 = 0"
+                        " THEN n_name END AS n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation",
         "job_undecodable": ledger("customer") + (
             "SELECT 'in' AS output, count(*) AS rows FROM st"
             " UNION ALL SELECT 'target', count(*) FILTER (WHERE k % 29 <> 0 AND status = 0) FROM st"

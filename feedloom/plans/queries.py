@@ -324,6 +324,22 @@ def job_undecodable(spark, sf_dir):
                                .json(f"{out}/error").where(F.col("_BYTES").isNotNull()))))
 
 
+NATION_BY_NAME = "n_nationkey BIGINT, n_name STRING, n_regionkey BIGINT"
+
+
+def meta_by_name(spark, sf_dir):
+    """``nation`` as two pipe files of other column orders, one without names, read back by name."""
+    tune(spark)
+    folder = scratch_folder(spark, "by-name")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    even = F.col("n_nationkey") % 2 == 0
+    writers.write_pipe_csv(nation.where(even).select("n_regionkey", "n_name", "n_nationkey")
+                           .coalesce(1), f"{folder}/a", "overwrite")
+    writers.write_pipe_csv(nation.where(~even).select(F.col("n_regionkey").alias("N_REGIONKEY"), "n_nationkey")
+                           .coalesce(1), f"{folder}/b", "overwrite")
+    return tables.read_by_name(spark, [f"{folder}/a", f"{folder}/b"], NATION_BY_NAME)
+
+
 def fw_lookup_duplicates(spark, sf_dir):
     """A given lookup with repeated keys: one row per line all the same, the last in order counts."""
     tune(spark)
@@ -474,7 +490,7 @@ SINGLE = (fw_extract, fw_typed_structs, fw_length_reject, fw_classify, fw_xref_j
           sink_exceptions, sink_diagnostic, sink_quarantine, sink_job, source_table_lines,
           audit_counts, audit_totals, audit_weighted_unpivot, audit_exception_categories, audit_values,
           audit_report_long, audit_report_tabular, type_split_trim,
-          job_target_order, job_rejected, job_exceptions, job_audit, job_audit_tab, job_quarantine, job_undecodable,
+          job_target_order, job_rejected, job_exceptions, job_audit, job_audit_tab, job_quarantine, job_undecodable, meta_by_name,
           fw_lookup_duplicates, fw_lookup_large,
           type_split_cells, file_manifest, destination_names)
 

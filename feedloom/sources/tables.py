@@ -23,6 +23,50 @@ def read_pipe_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("enforceSchema", True).csv(path)
 
 
+def headers(spark: SparkSession, path: str | list[str], sep: str = "|") -> dict[tuple[str, ...], list[str]]:
+    """Files of a pipe-delimited source grouped by their header, each header read once (one small job)."""
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
+    grouped: dict[tuple[str, ...], list[str]] = {}
+    for row in first:
+        names = tuple(c.strip().strip('"') for c in (row.header or "").rstrip("\r").split(sep))
+        grouped.setdefault(names, []).append(row.file)
+    return grouped
+
+
+def read_by_name(spark: SparkSession, path: str | list[str], schema: str, sep: str = "|") -> DataFrame:
+    """Pipe-delimited files with headers, columns bound by name: every file may order them as it likes.
+
+    A column of ``schema`` that a file lacks is null (of its type) in that file's rows; names are compared
+    without regard to case. A header with a name that ``schema`` lacks, or with a name twice, is an error
+    that names the file and the columns: a silently dropped or doubled column would change every count
+    made from the table. Cells are read as text and cast to the types of ``schema`` (ANSI: a cell that is
+    no number is an error). An empty source gives an empty table.
+    """
+    wanted = StructType.fromDDL(schema)
+    known = {f.name.upper(): f for f in wanted.fields}
+    parts = []
+    for names, files in sorted(headers(spark, path, sep).items()):
+        upper = [n.upper() for n in names]
+        unknown = sorted({n for n in names if n.upper() not in known})
+        twice = sorted({n for n in names if upper.count(n.upper()) > 1})
+        if unknown or twice:
+            raise ValueError(f"{files[0]}: columns not in the schema {unknown}, columns given twice {twice}")
+        raw = spark.read.schema(", ".join(f"`_C{i}` STRING" for i in range(len(names)))) \
+            .option("header", True).option("sep", sep).option("enforceSchema", True).csv(files)
+        at = {n: i for i, n in enumerate(upper)}
+        parts.append(raw.select(*[
+            (F.col(f"_C{at[f.name.upper()]}") if f.name.upper() in at else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in wanted.fields]))
+    if not parts:
+        return spark.createDataFrame([], wanted)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A few constant rows as a local relation: no job, and its exact size is known to the planner."""
     columns = list(zip(*rows)) if rows else []
