@@ -241,10 +241,11 @@ def _labelled(text: str, features: Features):
     return spans, starts, ends, ids, labels
 
 
-def _windows(batches):
+def _windows(batches, light: bool = False):
+    """Labelled windows of each text; ``light`` gives keys and ids of documents alone (for choosing)."""
     features = Features()
     for frame in batches:
-        keys, ids_out, labels_out = [], [], []
+        keys, ids_out, labels_out, docs = [], [], [], []
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
             spans, starts, _, ids, labels = _labelled(text, features)
             n = len(starts)
@@ -255,9 +256,11 @@ def _windows(batches):
             for c in centres:
                 lo = max(0, min(c - WINDOW // 2, n - WINDOW))
                 keys.append(_bucket(f"{seed}:{lo}", 1 << 62))
-                ids_out.append(ids[lo:lo + WINDOW].astype("<i8").tobytes())
-                labels_out.append(labels[lo:lo + WINDOW].astype("<i8").tobytes())
-        yield pd.DataFrame({"key": pd.array(keys, dtype="int64"), "ids": ids_out, "labels": labels_out})
+                docs.append(doc_id)
+                ids_out.append(b"" if light else ids[lo:lo + WINDOW].astype("<i8").tobytes())
+                labels_out.append(b"" if light else labels[lo:lo + WINDOW].astype("<i8").tobytes())
+        yield pd.DataFrame({"key": pd.array(keys, dtype="int64"), "ids": ids_out, "labels": labels_out,
+                            "doc_id": pd.array(docs, dtype="Int64")})
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Model:
@@ -265,7 +268,14 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     python_ready(docs.sparkSession)
     prepared = docs.select(F.col(id_column).cast("long").alias("doc_id"),
                            F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = prepared.mapInPandas(_windows, "key long, ids binary, labels binary") \
+    schema = "key long, ids binary, labels binary, doc_id long"
+    # keys first (8 bytes a window reach the driver from each task), then the windows of the chosen documents
+    chosen = prepared.mapInPandas(lambda b: _windows(b, light=True), schema) \
+        .select("key", "doc_id").orderBy("key").limit(TRAIN_WINDOWS)
+    keys = chosen.select("key").distinct()
+    ids = chosen.select(F.col("doc_id").alias("_chosen_id")).distinct()
+    rows = prepared.join(ids, prepared["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi") \
+        .mapInPandas(_windows, schema).join(F.broadcast(keys), "key", "left_semi") \
         .orderBy("key", "ids", "labels").limit(TRAIN_WINDOWS).collect()
     return train([(np.frombuffer(r.ids, dtype="<i8").reshape(-1, 9), np.frombuffer(r.labels, dtype="<i8"))
                   for r in rows])
