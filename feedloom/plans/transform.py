@@ -20,10 +20,16 @@ from ..sources.tables import constant_lookup
 RESULT = ("_ROW_TYPE", "_ROW_STATUS", "_ROW_EXCEPTIONS", "_ROW_DATA")
 
 
-def classified(lines: DataFrame, feed: Feed) -> DataFrame:
-    """Add the number of the record type."""
+def classified(lines: DataFrame, feed: Feed, filtered: bool = False) -> DataFrame:
+    """Add the number of the record type.
+
+    For rows that are then ``filtered`` by it, it is a generated column: the pushed-down filter would
+    otherwise repeat the expression of the line for every discriminator of every record type.
+    """
     parts = {column: F.expr(cut(*at)) for at, column in discriminators(feed).items()}
-    return lines.withColumns(parts).withColumn("_TYPE_NO", F.expr(type_number(feed))).drop(*parts)
+    number = type_number(feed)
+    return lines.withColumns(parts) \
+        .withColumn("_TYPE_NO", F.expr(f"explode(array({number}))" if filtered else number)).drop(*parts)
 
 
 def with_lookups(df: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -53,14 +59,15 @@ def _rules(feed: Feed) -> dict[int, list[Rule]]:
     return {number: group for number, group in rules.items() if group}
 
 
-def checked(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
+def checked(lines: DataFrame, feed: Feed, lookups: dict[str, DataFrame] | None = None,
+            filtered: bool = False) -> DataFrame:
     """Lines with their type number, lookup values and status.
 
     A generated column is not replaced by its expression when a filter on it is pushed down:
     routing by status does not evaluate the rules a second time.
     """
     status = by_case("_TYPE_NO", [(n, row_status(r)) for n, r in _rules(feed).items()], str(ACCEPTED))
-    return with_lookups(classified(lines, feed), feed, lookups) \
+    return with_lookups(classified(lines, feed, filtered), feed, lookups) \
         .withColumn("_ROW_STATUS", F.expr(f"explode(array({status}))"))
 
 
@@ -110,9 +117,9 @@ def extract(lines: DataFrame, feed: Feed, record_type: str,
     t = feed.type(record_type)
     wanted = f"_TYPE_NO = {feed.types.index(t)}"
     if with_status:
-        rows = checked(lines, feed, lookups).where(wanted)
+        rows = checked(lines, feed, lookups, filtered=True).where(wanted)
     else:
-        rows = with_lookups(classified(lines, feed).where(wanted), feed, lookups)
+        rows = with_lookups(classified(lines, feed, filtered=True).where(wanted), feed, lookups)
     return rows.selectExpr(*_carried(lines), *(["_ROW_STATUS"] if with_status else []),
                            *(f"{field_value(f, t)} AS {name(f.name)}" for f in t.fields))
 
