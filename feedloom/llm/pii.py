@@ -17,7 +17,8 @@ from the corpus: windows of ``WINDOW`` tokens around base spans and elsewhere, l
 of which at most ``TRAIN_WINDOWS`` are taken in the order of a hash (the documented bound of the sample).
 Training maximises the conditional likelihood (forward-backward over the batch of windows, AdaGrad) on the
 driver; the weights, some 2 MB whatever the corpus, go to the tasks with the job. Decoding is Viterbi over
-whole texts, many texts of similar length to a numpy batch. A decoded run of one kind that overlaps no base
+whole texts: tokens whose emission makes ``O`` better than any other label between any neighbours have that
+label in every best path, and the stretches between them are decoded together in numpy. A decoded run of one kind that overlaps no base
 span of any kind, and holds the least shape of its kind (an ``@`` inside, four digit groups, 13 or 7 digits;
 ``SHAPE_OF``), is added; base spans always stay.
 
@@ -28,7 +29,9 @@ and text columns are read, so extra columns, also with clashing names, do not ma
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -36,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import python_ready
+from feedloom.llm.common import python_ready, stored
 
 # Fixed values of the contract: kinds in their order, and patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -53,7 +56,9 @@ TRAIN_WINDOWS = 6000
 HASHED = 1 << 16
 SHAPES = 1 << 12
 ROUNDS = 60
-BATCH_LENGTHS = 32  # texts decoded together
+BATCH_TOKENS = 100_000  # texts decoded together have about so many tokens
+KNOWN_TOKENS = 200_000  # tokens a task remembers
+MARGIN = 1e-6  # by which ``O`` must be better to be settled at once, far beyond any rounding
 
 
 def _luhn(digits: str) -> bool:
@@ -96,37 +101,76 @@ def _bucket(text: str, size: int) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") % size
 
 
+@functools.cache
+def _characters() -> tuple[np.ndarray, re.Pattern]:
+    """Kind of every code point (0 white space of ``TOKEN``, 1 letter or digit, 2 other), and ``TOKEN`` with its
+    white space spelled out, for the quicker module."""
+    spaces = regex.findall(r"\s", "".join(map(chr, range(0x110000))))
+    kinds = np.full(0x110000, 2, np.uint8)
+    kinds[[ord(c) for c in spaces]] = 0
+    kinds[[c for c in range(128) if chr(c).isalnum()]] = 1
+    return kinds, re.compile(f"[A-Za-z0-9]+|[^A-Za-z0-9{re.escape(''.join(spaces))}]")
+
+
+def token_bounds(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the tokens of a text."""
+    kinds = np.zeros(len(text) + 2, np.uint8)
+    kinds[1:-1] = _characters()[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+    word, other = kinds == 1, kinds[1:-1] == 2
+    starts = np.flatnonzero(other | (word[1:-1] & ~word[:-2]))
+    ends = np.flatnonzero(other | (word[1:-1] & ~word[2:])) + 1
+    return starts, ends
+
+
 class Features:
     """Per token: hashed word, shape, short shape, length and space feature ids; neighbours come from shifts."""
 
     def __init__(self):
-        self.cache: dict[str, tuple[int, int, int]] = {}
+        self.rows: dict[str, int] = {}
+        self.own = np.zeros((1 << 10, 3), dtype=np.int64)
+        self.shapes: dict[str, int] = {}
 
-    def token(self, token: str) -> tuple[int, int, int]:
-        got = self.cache.get(token)
+    def _shape_bucket(self, text: str) -> int:
+        got = self.shapes.get(text)
         if got is None:
-            got = (_bucket("w" + token.lower(), HASHED), _bucket("s" + _shape(token, False), SHAPES),
-                   _bucket("t" + _shape(token, True), SHAPES))
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[token] = got
+            if len(self.shapes) > KNOWN_TOKENS:
+                self.shapes.clear()
+            got = self.shapes[text] = _bucket(text, SHAPES)
         return got
 
+    def _row(self, token: str) -> int:
+        """Place of the token's features in ``own``."""
+        row = len(self.rows)
+        if row == len(self.own):
+            self.own = np.concatenate((self.own, np.zeros_like(self.own)))
+        plain = token.isascii() and token.islower() and token.isalpha()
+        shape, short = ("x", "x") if plain else (_shape(token, False), _shape(token, True))
+        self.own[row] = _bucket("w" + token.lower(), HASHED), self._shape_bucket("s" + shape), self._shape_bucket("t" + short)
+        self.rows[token] = row
+        return row
+
     def of(self, text: str):
         """(starts, ends, ids (n, 9)) of a text's tokens."""
-        found = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(text)]
-        n = len(found)
-        starts = np.fromiter((f[0] for f in found), dtype=np.int64, count=n)
-        ends = np.fromiter((f[1] for f in found), dtype=np.int64, count=n)
-        own = np.array([self.token(f[2]) for f in found], dtype=np.int64).reshape(n, 3)
-        spaced = np.concatenate(([1], (starts[1:] > ends[:-1]).astype(np.int64))) if n else np.zeros(0, np.int64)
-        length = np.minimum(ends - starts, 12)
-        shape = own[:, 1]
-        pad = np.full(2, SHAPES, dtype=np.int64)
-        around = np.concatenate((pad, shape, pad))
-        ids = np.stack([own[:, 0], own[:, 1], own[:, 2], length, spaced,
-                        around[0:n], around[1:n + 1], around[3:n + 3], around[4:n + 4]], axis=1) if n \
-            else np.zeros((0, 9), dtype=np.int64)
+        starts, ends = token_bounds(text)
+        n = len(starts)
+        if n == 0:
+            return starts, ends, np.zeros((0, 9), dtype=np.int64)
+        tokens = _characters()[1].findall(text)
+        if len(self.rows) > KNOWN_TOKENS:  # between texts only: the rows of one text stay valid
+            self.rows.clear()
+            self.own = self.own[:1 << 10]
+        for token in set(tokens).difference(self.rows):
+            self._row(token)
+        own = self.own[np.fromiter(map(self.rows.__getitem__, tokens), np.int64, n)]
+        ids = np.empty((n, 9), dtype=np.int64)
+        ids[:, :3] = own
+        np.minimum(ends - starts, 12, out=ids[:, 3])
+        ids[0, 4] = 1
+        ids[1:, 4] = starts[1:] > ends[:-1]
+        around = np.full(n + 4, SHAPES, dtype=np.int64)
+        around[2:-2] = own[:, 1]
+        for column, shift in ((5, 0), (6, 1), (7, 3), (8, 4)):
+            ids[:, column] = around[shift:n + shift]
         return starts, ends, ids
 
 
@@ -164,6 +208,7 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, ra
     mask = np.zeros((b, length), dtype=bool)
     for r, (i, y) in enumerate(windows):
         ids[r, :len(y)], labels[r, :len(y)], mask[r, :len(y)] = i, y, True
+    known = [ids[..., c][mask] for c in range(9)]
     squares = [np.full(t.shape, 1e-6) for t in model.tables] + [np.full(model.transitions.shape, 1e-6)]
     for _ in range(rounds):
         e = model.emissions(ids)
@@ -181,10 +226,9 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, ra
         marginal = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
         gold = np.eye(k)[labels] * mask[..., None]
         diff = gold - marginal
-        grads = []
+        grads, missing = [], diff[mask].T.copy()
         for c, table in enumerate(model.tables):
-            g = np.zeros_like(table)
-            np.add.at(g, ids[..., c][mask], diff[mask])
+            g = np.stack([np.bincount(known[c], missing[y], len(table)) for y in range(k)], axis=1)
             grads.append(g - 1e-4 * table)
         pair = np.exp(alpha[:, :-1, :, None] + t[None, None] + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
         both = (mask[:, 1:] & mask[:, :-1])[..., None, None]
@@ -201,34 +245,51 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, ra
     return model
 
 
+def _settled(model: Model, e: np.ndarray) -> np.ndarray:
+    """Whether ``O`` beats every other label at a token whatever its neighbours, so that all best paths have it."""
+    k = len(LABELS)
+    t = model.transitions
+    into = (t - t[:, :1]).max(0)
+    out = np.maximum((t[:k] - t[0]).max(1), 0)
+    return (e[:, :1] - e[:, 1:] >= (into + out)[1:] + MARGIN).all(1)
+
+
 def viterbi(model: Model, batch: list[np.ndarray]) -> list[np.ndarray]:
-    """Best label paths of a batch of token feature arrays, decoded together; a finished text keeps its score."""
-    k, b = len(LABELS), len(batch)
+    """Best label paths of a batch of token feature arrays, decoded together.
+
+    Stretches between settled tokens do not depend on one another. The longest come first, so that those not
+    ended at a step are the first ones.
+    """
+    k = len(LABELS)
     lengths = np.array([len(ids) for ids in batch], dtype=np.int64)
-    length = int(lengths.max(initial=0))
-    if length == 0:
-        return [np.zeros(0, dtype=np.int64) for _ in batch]
-    ids = np.zeros((b, length, 9), dtype=np.int64)
-    for r, i in enumerate(batch):
-        ids[r, :len(i)] = i
-    e = model.emissions(ids)
-    t, start = model.transitions[:k], model.transitions[k]
-    score = start + e[:, 0]
-    back = np.zeros((b, length, k), dtype=np.int8)
-    same = np.arange(k)
-    for j in range(1, length):
-        total = score[:, :, None] + t[None]
-        live = (j < lengths)[:, None]
-        back[:, j] = np.where(live, total.argmax(1), same)
-        score = np.where(live, total.max(1) + e[:, j], score)
-    label = score.argmax(1)
-    paths = np.zeros((b, length), dtype=np.int64)
-    paths[:, -1] = label
-    rows = np.arange(b)
-    for j in range(length - 1, 0, -1):
-        label = back[rows, j, label]
-        paths[:, j - 1] = label
-    return [paths[r, :n] for r, n in enumerate(lengths)]
+    after = np.cumsum(lengths)
+    paths = np.zeros(int(lengths.sum()), dtype=np.int64)
+    if len(paths):
+        e = model.emissions(np.concatenate(batch))
+        t, start = model.transitions[:k], model.transitions[k]
+        first, last = np.zeros((2, len(paths)), dtype=bool)
+        first[(after - lengths)[lengths > 0]] = last[after[lengths > 0] - 1] = True
+        open_ = ~_settled(model, e)
+        begins = np.flatnonzero(open_ & (first | np.r_[True, ~open_[:-1]]))
+        ends = np.flatnonzero(open_ & (last | np.r_[~open_[1:], True]))
+        order = np.argsort(begins - ends, kind="stable")
+        begins, ends = begins[order], ends[order]
+        # how many stretches have a token at each step
+        live = len(begins) - np.searchsorted(np.sort(ends - begins), np.arange((ends - begins).max(initial=-1) + 1))
+        score = np.where(first[begins, None], start, t[0]) + e[begins]
+        back = np.zeros((len(paths), k), dtype=np.int8)
+        for j, m in enumerate(live[1:].tolist(), 1):
+            total = score[:m, :, None] + t[None]
+            at = begins[:m] + j
+            back[at] = total.argmax(1)
+            score[:m] = total.max(1) + e[at]
+        label = np.where(last[ends, None], score, score + t[:, 0]).argmax(1)
+        for j in range(len(live) - 1, 0, -1):
+            at = begins[:live[j]] + j
+            paths[at] = label[:live[j]]
+            label[:live[j]] = back[at, label[:live[j]]]
+        paths[begins] = label
+    return np.split(paths, after[:-1]) if batch else []
 
 
 def _labelled(text: str, features: Features):
@@ -247,7 +308,10 @@ def _windows(batches, light: bool = False):
     for frame in batches:
         keys, ids_out, labels_out, docs = [], [], [], []
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
-            spans, starts, _, ids, labels = _labelled(text, features)
+            if light:
+                spans, (starts, _) = base_spans(text), token_bounds(text)
+            else:
+                spans, starts, _, ids, labels = _labelled(text, features)
             n = len(starts)
             if n == 0:
                 continue
@@ -272,6 +336,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     # keys first (8 bytes a window reach the driver from each task), then the windows of the chosen documents
     chosen = prepared.mapInPandas(lambda b: _windows(b, light=True), schema) \
         .select("key", "doc_id").orderBy("key").limit(TRAIN_WINDOWS)
+    chosen = stored(docs.sparkSession, chosen, "pii-windows", slim=True)
     keys = chosen.select("key").distinct()
     ids = chosen.select(F.col("doc_id").alias("_chosen_id")).distinct()
     rows = prepared.join(ids, prepared["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi") \
@@ -288,19 +353,15 @@ SHAPE_OF = {"email": regex.compile(r"[^@\s]@[^@\s]"), "ip": regex.compile(r"[0-9
 
 def _added(spans, starts, ends, path, text):
     """Runs of one kind in a decoded path that overlap no base span and have the shape of their kind."""
-    out, j, n = [], 0, len(path)
-    while j < n:
-        if path[j] == 0:
-            j += 1
+    out = []
+    changes = np.flatnonzero(path[1:] != path[:-1]) + 1
+    for j, z in zip(np.r_[0, changes].tolist(), np.r_[changes, len(path)].tolist()):
+        if j == z or path[j] == 0:
             continue
-        z = j
-        while z + 1 < n and path[z + 1] == path[j]:
-            z += 1
-        a, b = int(starts[j]), int(ends[z])
+        a, b = int(starts[j]), int(ends[z - 1])
         kind = LABELS[path[j]]
         if not any(a < e and s < b for _, s, e in spans) and SHAPE_OF[kind].search(text, a, b):
             out.append((kind, a, b))
-        j = z + 1
     return out
 
 
@@ -308,17 +369,18 @@ def _find(model: Model):
     def run(batches):
         features = Features()
         for frame in batches:
-            done = {}
+            base, added, group, size = [], [], [], 0
             texts = list(frame["text"])
-            parsed = [_labelled(text, features) for text in texts]
-            order = sorted(range(len(parsed)), key=lambda r: len(parsed[r][1]))
-            for g in range(0, len(order), BATCH_LENGTHS):
-                group = order[g:g + BATCH_LENGTHS]
-                for r, path in zip(group, viterbi(model, [parsed[r][3] for r in group])):
-                    spans, starts, ends = parsed[r][:3]
-                    done[r] = (spans, _added(spans, starts, ends, path, texts[r]))
-            base = [[{"kind": k, "start": a, "end": z} for k, a, z in done[r][0]] for r in range(len(parsed))]
-            added = [[{"kind": k, "start": a, "end": z} for k, a, z in done[r][1]] for r in range(len(parsed))]
+            for r, text in enumerate(texts):
+                group.append((base_spans(text), text, *features.of(text)))
+                size += len(group[-1][2])
+                if size >= BATCH_TOKENS or r + 1 == len(texts):
+                    paths = viterbi(model, [ids for *_, ids in group])
+                    for (spans, found_in, starts, ends, _), path in zip(group, paths):
+                        base.append([{"kind": k, "start": a, "end": z} for k, a, z in spans])
+                        added.append([{"kind": k, "start": a, "end": z}
+                                      for k, a, z in _added(spans, starts, ends, path, found_in)])
+                    group, size = [], 0
             yield pd.DataFrame({"doc_id": frame["doc_id"], "base": base, "added": added})
     return run
 

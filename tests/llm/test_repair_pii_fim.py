@@ -217,3 +217,28 @@ def test_viterbi_is_exact():
 def test_empty_tables(spark, none):
     assert fill_in_middle(none).count() == 0
     assert pii.find_pii(none, pii.Model()).count() == 0
+
+
+def test_settled_tokens_cut_the_path_exactly():
+    rng = np.random.default_rng(5)
+    model = pii.Model([rng.normal(size=t.shape) + [1.5, 0, 0, 0, 0] for t in pii.Model().tables], rng.normal(size=(6, 5)))
+    batch = [rng.integers(0, 2, size=(n, 9)) for n in (7, 0, 6, 1, 7, 5, 7)]
+    for ids, path in zip(batch, pii.viterbi(model, batch)):
+        e = model.emissions(ids)
+        t, start = model.transitions[:5], model.transitions[5]
+        if len(ids):
+            best = max(itertools.product(range(5), repeat=len(ids)), key=lambda p: start[p[0]] + sum(
+                e[j, p[j]] for j in range(len(p))) + sum(t[a, b] for a, b in zip(p, p[1:])))
+            assert tuple(path) == best
+        else:
+            assert len(path) == 0
+    settled = pii._settled(model, model.emissions(np.concatenate(batch)))
+    assert settled.any() and not settled.all()
+    assert not pii._settled(pii.Model(), np.zeros((3, 5))).any()
+
+
+def test_token_bounds_are_those_of_the_pattern():
+    for text in ("", " ", "ab1-c\x1cd\x85e　f \ud800 x\U0001f600y", "a" * 99, "é1 2.3", "᠎​﻿-"):
+        starts, ends = pii.token_bounds(text)
+        assert list(zip(starts, ends)) == [m.span() for m in pii.TOKEN.finditer(text)]
+        assert len(pii.Features().of(text)[2]) == len(starts)
