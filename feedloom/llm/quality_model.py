@@ -14,6 +14,7 @@ With no document, or none of a class, the pattern's posterior is the score. Extr
 
 from __future__ import annotations
 
+import functools
 import re
 from operator import eq
 
@@ -37,8 +38,22 @@ _SHOUT = re.compile(r"[!?]{2}")
 _ODD, _UPPER, _LOUD, _STOP, _LOWER = 1, 2, 4, 8, 16
 
 
+def _plain(word: str) -> tuple[str, str] | None:
+    """Shape of the letters of an ordinary word, in lower case or with one capital before others, and the
+    sign that ends it, if any; None for all other words."""
+    body, end = (word[:-1], word[-1]) if word[-1] in ".,;:?!" else (word, "")
+    if body.isalpha():
+        if body.islower():
+            return "a", end
+        if body[0].isupper() and body[1:].islower():
+            return "Aa", end
+    return None
+
+
 def _marks(word: str) -> int:
     """What the labellers look at in a word."""
+    if _plain(word):
+        return _LOWER | _STOP * (word[-1] in ".?!")
     letters = [c for c in word if c.isalpha()]
     upper = sum(c.isupper() for c in letters)
     return (_ODD * (not any(map(str.isalnum, word)) or bool(_SYMBOL.search(word)))
@@ -80,7 +95,8 @@ def vote_pattern(text: str | None, marks) -> int:
     lines = [line for line in text.split("\n") if line.strip()]
     share = lambda bit: float(np.count_nonzero(m & bit)) / max(1, n)
     s = {"n": n, "odd": share(_ODD), "upper": share(_UPPER), "loud": share(_LOUD), "stop": share(_STOP),
-         "lower": share(_LOWER), "length": sum(map(len, words)) / max(1, n), "distinct": len(set(words)) / max(1, n),
+         "lower": share(_LOWER), "length": len("".join(words)) / max(1, n),
+         "distinct": len(set(words)) / n if 30 <= n < 1000 else 1.0,  # looked at in texts of such lengths only
          "again": repeats(words),
          "lines": 1 - len(set(lines)) / len(lines) if lines else 0.0}
     pattern = 0
@@ -133,6 +149,9 @@ def estimate(counts: dict[int, int], rounds: int = 100) -> tuple[dict[int, float
 
 def _shape(word: str) -> str:
     """The kinds of characters of a word, runs once."""
+    plain = _plain(word)
+    if plain:
+        return "".join(plain)
     out = []
     for c in word:
         kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
@@ -141,10 +160,16 @@ def _shape(word: str) -> str:
     return "".join(out[:8])
 
 
+def _hashed(feature: str) -> int:
+    return 1 + xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1)
+
+
+_often_hashed = functools.lru_cache(maxsize=20_000)(_hashed)  # shapes and endings come again and again
+
+
 def features(word: str) -> tuple[int, int, int]:
     """Hashed features of a word: itself, its shape, its ending."""
-    return tuple(1 + xxhash.xxh3_64_intdigest(f.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1)
-                 for f in ("w:" + word.lower(), "s:" + _shape(word), "e:" + word[-3:]))
+    return _hashed("w:" + word.lower()), _often_hashed("s:" + _shape(word)), _often_hashed("e:" + word[-3:])
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 12, rate: float = 0.5) -> np.ndarray:
@@ -221,7 +246,13 @@ def fit(docs: DataFrame) -> dict:
 def _scorer(m: dict):
     """A function from a text to its score."""
     w, marks = m["weights"], Pieces(_marks, KNOWN_WORDS)
-    weigh = Pieces(lambda word: float(sum(w[i] for i in features(word))), KNOWN_WORDS)
+    weights = [] if w is None else w.tolist()
+
+    def weight(word: str) -> float:
+        itself, shape, ending = features(word)
+        return weights[itself] + weights[shape] + weights[ending]
+
+    weigh = Pieces(weight, KNOWN_WORDS)
 
     def of(text: str | None) -> float:
         words = (text or "").split()

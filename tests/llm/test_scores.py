@@ -201,3 +201,28 @@ def test_words(text):
 
 def test_brute_base_is_sound():
     assert brute.base_statistics("a b c a b c")[:5] == (6, 6, 0, 0, 6)
+
+
+def test_ordinary_words_by_the_short_way():
+    """Marks, shapes and features of ordinary words are those that reading them letter by letter gives."""
+    words = ["word", "Word", "word.", "Word!", "A", "a", "A.", "été,", "Été", "ß?", "WORD", "wOrd", "word..", "ǅa", "日本", "A中b",
+             "A中B", "1a", ".", "!?", "a1.", "ªb", "x́", "\ud800", "İi", "iİ", "word#", "Ab:", "aB;"]
+
+    def slow_marks(word):
+        letters = [c for c in word if c.isalpha()]
+        upper = sum(c.isupper() for c in letters)
+        odd = not any(c.isalnum() for c in word) or any(c in r"#*$%&|<>{}\^~" for c in word)
+        loud = any(a in "!?" and b in "!?" for a, b in zip(word, word[1:]))
+        return (1 * odd | 2 * (len(letters) > 1 and upper == len(letters)) | 4 * loud | 8 * (word[-1] in ".?!")
+                | 16 * (len(letters) > upper and upper <= 1))
+
+    def slow_shape(word):
+        kinds = ["A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word]
+        return "".join([k for at, k in enumerate(kinds) if at == 0 or kinds[at - 1] != k][:8])
+
+    assert quality_model._plain("Été.") == ("Aa", ".") and quality_model._plain("WORD") is None
+    for word in words:
+        assert quality_model._marks(word) == slow_marks(word), word
+        assert quality_model._shape(word) == slow_shape(word), word
+        assert quality_model.features(word) == tuple(quality_model._hashed(f) for f in (
+            "w:" + word.lower(), "s:" + slow_shape(word), "e:" + word[-3:]))
