@@ -33,6 +33,7 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 SHORT = 48
 NEVER = 1 << 30
 LEAST_COUNT = 4
+_NO_RANKS: dict[int, int] = {}
 
 
 def byte_characters() -> dict[str, int]:
@@ -65,28 +66,39 @@ class Vocabulary:
             ids = model["vocab"]
             self.rank_of[ids[left], ids[right]] = rank
             self.merged_id.append(ids[left + right])
+        # the same ranks by left id, and those of two bytes: looked up without making pairs
+        self.ranks_after = [_NO_RANKS] * (max(self.bytes_of, default=0) + 1)
+        for (left, right), rank in self.rank_of.items():
+            if self.ranks_after[left] is _NO_RANKS:
+                self.ranks_after[left] = {}
+            self.ranks_after[left][right] = rank
+        self.byte_ranks = [[self.rank_of.get((a, b), NEVER) for b in self.byte_id] for a in self.byte_id]
+        # bytes of every id from 0, none of ids that the vocabulary lacks
+        self.bytes_at = [self.bytes_of.get(number, b"") for number in range(len(self.ranks_after))]
         self.special_split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) \
             if self.special else None
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank first, the leftmost of equal pairs."""
         ids = [self.byte_id[byte] for byte in word]
-        return self._merged_short(ids) if len(ids) <= SHORT else self._merged_long(ids)
+        if len(ids) > SHORT:
+            return self._merged_long(ids)
+        byte_ranks = self.byte_ranks
+        return self._merged_short(ids, [byte_ranks[a][b] for a, b in zip(word, word[1:])])
 
-    def _merged_short(self, ids: list[int]) -> list[int]:
-        rank_of, merged_id = self.rank_of.get, self.merged_id
-        ranks = [rank_of(pair, NEVER) for pair in zip(ids, ids[1:])]
+    def _merged_short(self, ids: list[int], ranks: list[int]) -> list[int]:
+        after, merged_id = self.ranks_after, self.merged_id
         while ranks:
             rank = min(ranks)
             if rank == NEVER:
                 break
             at = ranks.index(rank)
-            ids[at] = merged_id[rank]
+            ids[at] = merged = merged_id[rank]
             del ids[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), NEVER)
+                ranks[at - 1] = after[ids[at - 1]].get(merged, NEVER)
             if at < len(ranks):
-                ranks[at] = rank_of((ids[at], ids[at + 1]), NEVER)
+                ranks[at] = after[merged].get(ids[at + 1], NEVER)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -126,8 +138,12 @@ def _piece_coder(path: str, block: bytes) -> PieceEncoder:
 
     ids_of = Pieces(word_ids)
 
+    specials = list(vocab.special)
+
     def encode(piece: str) -> bytes:
-        if vocab.special_split is None or not vocab.special_split.search(piece):
+        if not any(map(piece.__contains__, specials)):
+            if piece[1:].isalpha() and piece.isascii() and piece[0] == " ":  # one word by the split pattern
+                return ids_of[piece]
             return b"".join([ids_of[word] for word in WORD.findall(piece)])
         out, at = [], 0
         for special in vocab.special_split.finditer(piece):
@@ -217,12 +233,16 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon, id_column: str = "doc
 def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids", to: str = "decoded") -> DataFrame:
     """``encoded`` with its ids as text; ids that the vocabulary lacks are passed over."""
     def run(batches):
-        bytes_of = vocabulary(vocabulary_path).bytes_of
+        bytes_at = vocabulary(vocabulary_path).bytes_at
         for batch in batches:
             texts = []
             for ids in batch.column(ids_column):
                 numbers = array("I", ids.as_py() or b"")
-                texts.append(b"".join([bytes_of.get(i, b"") for i in numbers]).decode("utf-8", "replace"))
+                try:
+                    parts = list(map(bytes_at.__getitem__, numbers))
+                except IndexError:  # an id beyond the vocabulary
+                    parts = [bytes_at[i] for i in numbers if i < len(bytes_at)]
+                texts.append(b"".join(parts).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, to])
 

@@ -18,6 +18,7 @@ import numpy as np
 
 _HEADER = struct.Struct("<4sIIII")
 _MAGIC = b"FSTL"
+STEM, MOST_STEMS = 4, 20_000
 
 
 class _State:
@@ -109,19 +110,35 @@ class Transducer:
         self.starts, self.targets, self.skipped, self.offsets, self.ids = fields
         self.final = view[at:at + n_states]
         self.labels = at + n_states
+        self.stems: dict[bytes, tuple[int, int]] = {}
 
     def ordinal(self, word: bytes) -> int:
         """Place of the word among all words, or -1."""
         state = total = 0
         find, base = self.file.find, self.labels
-        for at in range(len(word)):
+        known = self.stems.get(word[:STEM])
+        if known is not None:
+            state, total = known
+            if state < 0:
+                return -1
+        for at in range(0 if known is None else STEM, len(word)):
+            if at == STEM:
+                self._remember(word[:STEM], state, total)
             arc = find(word[at:at + 1], base + self.starts[state], base + self.starts[state + 1])
             if arc < 0:
+                if at < STEM <= len(word):
+                    self._remember(word[:STEM], -1, 0)
                 return -1
             total += self.skipped[arc - base]
             state = self.targets[arc - base]
         return total if self.final[state] else -1
 
+    def _remember(self, stem: bytes, state: int, total: int) -> None:
+        """Where the first bytes of a word lead, so that the next word with them starts there."""
+        if len(self.stems) >= MOST_STEMS:
+            self.stems.clear()
+        self.stems[stem] = state, total
+
     def get(self, word: bytes) -> list[int] | None:
         place = self.ordinal(word)
         return None if place < 0 else self.ids[self.offsets[place]:self.offsets[place + 1]].tolist()

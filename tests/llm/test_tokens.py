@@ -108,3 +108,24 @@ def test_transducer_is_minimal_and_exact():
     assert lexicon.n_states < 17
     empty = mapped(compile_transducer([]))
     assert empty.get(b"a") is None and empty.n_words == 0
+
+
+def test_transducer_remembers_stems():
+    """Words that share their first bytes are looked up from there on; none, shorter and longer words as before."""
+    words = [b" abcd", b" abcde", b" abx", b" ab", b"zzzz", b"zzzzz", b""]
+    found = mapped(compile_transducer((w, [k]) for k, w in enumerate(words)))
+    for _ in range(2):
+        for k, word in enumerate(words):
+            assert found.get(word) == [k]
+        for word in (b" abc", b" abcdf", b" abcdef", b"zzz", b"zzzzzz", b"q", b"qqqqqq", b" abcf", b" abcfg"):
+            assert found.get(word) is None
+    assert found.stems
+
+
+def test_decode_passes_over_unknown_ids():
+    vocab = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("a word", "x" * 60, "é日本", "aaaa bbbb", "'s it's"):
+        for word in bpe.WORD.findall(text):
+            ids = vocab.merged(word.encode())
+            assert ids == vocab._merged_long([vocab.byte_id[b] for b in word.encode()])
+            assert b"".join(vocab.bytes_at[i] for i in ids) == word.encode()
