@@ -213,15 +213,18 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, ra
     for _ in range(rounds):
         e = model.emissions(ids)
         t, start = model.transitions[:k], model.transitions[k]
-        alpha = np.zeros((b, length, k))
-        alpha[:, 0] = start + e[:, 0]
+        # windows last: every step then works on long rows
+        et, live = np.ascontiguousarray(e.transpose(1, 2, 0)), np.ascontiguousarray(mask.T)
+        alpha = np.zeros((length, k, b))
+        alpha[0] = start[:, None] + et[0]
         for j in range(1, length):
-            step = _log_sum(alpha[:, j - 1, :, None] + t[None], 1) + e[:, j]
-            alpha[:, j] = np.where(mask[:, j, None], step, alpha[:, j - 1])
-        beta = np.zeros((b, length, k))
+            step = _log_sum(alpha[j - 1][:, None] + t[:, :, None], 0) + et[j]
+            alpha[j] = np.where(live[j], step, alpha[j - 1])
+        beta = np.zeros((length, k, b))
         for j in range(length - 2, -1, -1):
-            step = _log_sum(t[None] + (e[:, j + 1] + beta[:, j + 1])[:, None, :], 2)
-            beta[:, j] = np.where(mask[:, j + 1, None], step, beta[:, j + 1])
+            step = _log_sum(t[:, :, None] + (et[j + 1] + beta[j + 1])[None], 1)
+            beta[j] = np.where(live[j + 1], step, beta[j + 1])
+        alpha, beta = (np.ascontiguousarray(x.transpose(2, 0, 1)) for x in (alpha, beta))
         z = _log_sum(alpha[:, -1], 1)
         marginal = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
         gold = np.eye(k)[labels] * mask[..., None]
@@ -230,9 +233,13 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, ra
         for c, table in enumerate(model.tables):
             g = np.stack([np.bincount(known[c], missing[y], len(table)) for y in range(k)], axis=1)
             grads.append(g - 1e-4 * table)
-        pair = np.exp(alpha[:, :-1, :, None] + t[None, None] + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
+        pair = alpha[:, :-1, :, None] + t[None, None]
+        pair += (e[:, 1:] + beta[:, 1:])[:, :, None, :]
+        pair -= z[:, None, None, None]
+        np.exp(pair, out=pair)
         both = (mask[:, 1:] & mask[:, :-1])[..., None, None]
-        expected = (pair * both).sum((0, 1))
+        pair *= both
+        expected = pair.sum((0, 1))
         seen = np.zeros((k, k))
         np.add.at(seen, (labels[:, :-1][both[..., 0, 0]], labels[:, 1:][both[..., 0, 0]]), 1)
         gt = np.zeros_like(model.transitions)
