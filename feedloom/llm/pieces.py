@@ -13,6 +13,15 @@ _INSIDE_RUN = re.compile(r"[\s\x1c-\x1f] ")
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
 
 
+def cut(text: str) -> tuple[str, list[str]]:
+    """The first piece of a text, and the others in order without the space that each begins with."""
+    if _INSIDE_RUN.search(text):
+        first, *rest = _CUT.split(text)
+        return first, [piece[1:] for piece in rest]
+    first, *rest = text.split(" ")
+    return first, rest
+
+
 class Pieces(dict):
     """Results by piece; a miss calls ``encode(piece)``. Emptied when full, which changes no result."""
 

@@ -129,3 +129,34 @@ def test_decode_passes_over_unknown_ids():
             ids = vocab.merged(word.encode())
             assert ids == vocab._merged_long([vocab.byte_id[b] for b in word.encode()])
             assert b"".join(vocab.bytes_at[i] for i in ids) == word.encode()
+
+
+def test_words_merged_together():
+    """Many words at once have the ids of each alone: all lengths, ties, bytes that nothing merges."""
+    vocab, chance = bpe.vocabulary(PATH), random.Random(2)
+    words = [bytes(chance.choice(b"ab e\xc3\xa9ingth\x00\xff") for _ in range(chance.randrange(1, 70))) for _ in range(5_000)]
+    words += [b"aaaaaaa", b" the", b"x", b"ab" * 200]
+    ids, starts, sizes = vocab.merged_many(words)
+    assert [ids[at:at + n].tolist() for at, n in zip(starts, sizes)] == [vocab.merged(word) for word in words]
+    assert [len(part) for part in vocab.merged_many([])] == [0, 0, 0]
+
+
+def test_words_looked_up_together():
+    words = [b"", b" abcd", b" abx", b"zzzz", b"q", b" ab", "é日".encode()]
+    found = mapped(compile_transducer((w, [k]) for k, w in enumerate(words)))
+    asked = [*words, b" abc", b" abcde", b"zz", b"qq", b"", b"\xff"]
+    assert found.ordinals(asked).tolist() == [found.ordinal(word) for word in asked]
+    assert mapped(compile_transducer([])).ordinals([b"a", b""]).tolist() == [-1, -1]
+
+
+def test_texts_together_with_few_remembered(library, monkeypatch):
+    """Ids stay the same however few pieces are remembered and however texts are grouped."""
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 5)
+    monkeypatch.setattr(bpe, "GROUP", 40)
+    block = compile_transducer((w.encode(), bpe.vocabulary(PATH).merged(w.encode())) for w in (" the", "hello", ","))
+    coder, chance = bpe._piece_coder(PATH, block), random.Random(3)
+    parts = ["the", "hello,", "a\n", " ", "  b", "<|endoftext|>", "\x1c", "\xa0", "日本", "it's", "12,5", ""]
+    texts = [" ".join(chance.choice(parts) for _ in range(chance.randrange(9))) for _ in range(2_000)]
+    assert [list(array("I", got)) for got in coder.texts(texts)] == [ids(library, text) for text in texts]
+    assert len(coder.known) + len(coder.before) < 60
+    assert coder.texts([]) == []
