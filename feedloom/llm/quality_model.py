@@ -199,8 +199,8 @@ def _voted(batches):
     marks = Pieces(_marks, KNOWN_WORDS)
     for batch in batches:
         patterns = [vote_pattern(text.as_py(), marks) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(patterns, pa.int32())],
-                                         names=["doc_id", "text", "pattern"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(patterns, pa.int32())],
+                                         names=[*batch.schema.names, "pattern"])
 
 
 def _vectors(batches):
@@ -216,6 +216,24 @@ def _vectors(batches):
              pa.array(values, pa.list_(pa.float32()))], names=["doc_id", "pattern", "i", "v"])
 
 
+def training_sample(rows: DataFrame, share: dict[int, float]) -> DataFrame:
+    """(doc_id, pattern, i, v) of that share of each pattern's (doc_id, text) rows, chosen by a hash.
+
+    Votes, choice and vectors are one step: two would take two Python workers for every task, and an
+    executor keeps them beside the workers of later stages.
+    """
+    def run(batches):
+        def chosen():
+            for batch in _voted(batches):
+                patterns = batch.column("pattern").to_pylist()
+                yield batch.filter(pa.array([x < share[p] for x, p in zip(batch.column("place").to_pylist(), patterns)], pa.bool_()))
+        return _vectors(chosen())
+
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.withColumn("place", place).filter(F.col("place") < max(share.values())) \
+        .mapInArrow(run, "doc_id bigint, pattern int, i array<int>, v array<float>")
+
+
 def fit(docs: DataFrame) -> dict:
     """The model: posterior per vote pattern, labeller accuracies, scorer weights (None without both classes)."""
     python_ready(docs.sparkSession)
@@ -227,13 +245,7 @@ def fit(docs: DataFrame) -> dict:
     sizes = [sum(n for p, n in counts.items() if (posterior[p] > 0.5) == side) for side in (False, True)]
     if min(sizes) == 0:
         return model
-    # About MOST_TRAINING documents of either class, by a hash of the id.
-    bad = [p for p in counts if posterior[p] <= 0.5]
-    share = [min(1.0, MOST_TRAINING / n) for n in sizes]
-    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    kept = rows.filter(place < max(share)).mapInArrow(_voted, "doc_id bigint, text string, pattern int") \
-        .filter(place < F.when(F.col("pattern").isin(bad), share[0]).otherwise(share[1]))
-    sample = kept.mapInArrow(_vectors, "doc_id bigint, pattern int, i array<int>, v array<float>")
+    sample = training_sample(rows, {p: min(1.0, MOST_TRAINING / sizes[posterior[p] > 0.5]) for p in counts})
     # As columns, a few bytes per feature of a bounded number of documents; ordered, so that reruns agree.
     columns = sample.orderBy("doc_id", "pattern", "i", "v").toArrow()
     data = [(i.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(float), posterior[p.as_py()])

@@ -226,3 +226,23 @@ def test_ordinary_words_by_the_short_way():
         assert quality_model._shape(word) == slow_shape(word), word
         assert quality_model.features(word) == tuple(quality_model._hashed(f) for f in (
             "w:" + word.lower(), "s:" + slow_shape(word), "e:" + word[-3:]))
+
+
+def test_training_sample_is_one_python_step(spark, docs):
+    """A task of the sample needs one Python worker; the rows are those that the votes and the hash choose."""
+    from feedloom.llm import quality_model as q
+    from feedloom.llm.common import python_ready
+
+    python_ready(spark)
+    rows = docs.selectExpr("doc_id", "coalesce(text, '') AS text")
+    share = {p: 0.3 + 0.5 * (p % 2) for p in range(3 ** len(q.LABELLERS))}
+    sample = q.training_sample(rows, share)
+    assert sample._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    marks, place = q.Pieces(q._marks), "pmod(xxhash64(doc_id, text, 'train'), 1073741824) / double(1073741824)"
+    want = {}
+    for r in rows.selectExpr("*", f"{place} AS place").collect():
+        pattern = q.vote_pattern(r.text, marks)
+        if r.place < share[pattern]:
+            want[r.doc_id] = pattern
+    got = {r.doc_id: (r.pattern, len(r.i) == len(r.v)) for r in sample.collect()}
+    assert got == {k: (p, True) for k, p in want.items()} and 0 < len(got) < rows.count()
